@@ -61,7 +61,7 @@ def tags_without_deployment(tag: DataFrame, deployment: DataFrame) -> DataFrame:
 def repeated_deployments(deployment: DataFrame) -> DataFrame:
     """The same individual with the same tag more than once."""
     on = ["study_id", "individual_id", "tag_id"]
-    groups = deployment.groupBy(*on).agg(F.count(F.lit(1)).alias("num")).where("num > 1")
+    groups = deployment.groupBy(*on).agg(F.count("*").alias("num")).where("num > 1")
     return violation(groups, "deployment_unique", key_of("individual_id", "tag_id"), F.col("num"))
 
 
@@ -75,7 +75,7 @@ def shared_deployment_ends(deployment: DataFrame) -> DataFrame:
     for column in ("deploy_on_timestamp", "deploy_off_timestamp"):
         shared = (
             deployment.groupBy("study_id", "tag_id", column)
-            .agg(F.count(F.lit(1)).alias("num"))
+            .agg(F.count("*").alias("num"))
             .where("num > 1")
             .groupBy("study_id", "tag_id")
             .agg(F.sum("num").alias("num"))
@@ -88,13 +88,13 @@ def repeated_keys(df: DataFrame, entity: str) -> DataFrame:
     """Primary key values that occur more than once in a study."""
     key = PRIMARY_KEY[entity]
     columns = ["study_id"] if key == "study_id" else ["study_id", key]
-    groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("num")).where("num > 1")
+    groups = df.groupBy(*columns).agg(F.count("*").alias("num")).where("num > 1")
     return violation(groups, "primary_key", F.concat(F.lit(f"{entity}/"), key_of(key)), F.col("num"))
 
 
 def events_per_sensor(events: DataFrame) -> DataFrame:
     """Event counts per tag and sensor type: small, and shared by the checks below."""
-    return events.groupBy("study_id", "tag_id", "sensor_type_id").agg(F.count(F.lit(1)).alias("num"))
+    return events.groupBy("study_id", "tag_id", "sensor_type_id").agg(F.count("*").alias("num"))
 
 
 def events_without_single_sensor(events: DataFrame, sensor: DataFrame) -> DataFrame:
@@ -103,7 +103,7 @@ def events_without_single_sensor(events: DataFrame, sensor: DataFrame) -> DataFr
     Events are counted per tag and type first, so no event row is joined.
     """
     on = ["study_id", "tag_id", "sensor_type_id"]
-    sensors = sensor.groupBy(*on).agg(F.count(F.lit(1)).alias("sensors"))
+    sensors = sensor.groupBy(*on).agg(F.count("*").alias("sensors"))
     matched = events_per_sensor(events).join(sensors, on, "left")
     matched = matched.withColumn("sensors", F.coalesce("sensors", F.lit(0))).where("sensors <> 1")
     detail = F.format_string("%d events, %d sensors", "num", "sensors")
@@ -113,19 +113,19 @@ def events_without_single_sensor(events: DataFrame, sensor: DataFrame) -> DataFr
 def events_outside_deployment(events: DataFrame) -> DataFrame:
     """Counts per deployment of events outside its interval, in joined events."""
     outside = events.where(~F.coalesce(in_deployment(), F.lit(False)))
-    groups = outside.groupBy("study_id", "deployment_id").agg(F.count(F.lit(1)).alias("num"))
+    groups = outside.groupBy("study_id", "deployment_id").agg(F.count("*").alias("num"))
     return violation(groups, "event_in_deployment", key_of("deployment_id"), F.col("num"))
 
 
 def events_without_individual(events: DataFrame) -> DataFrame:
     lost = events.where(F.col("individual_id").isNull())
-    groups = lost.groupBy("study_id", "tag_id").agg(F.count(F.lit(1)).alias("num"))
+    groups = lost.groupBy("study_id", "tag_id").agg(F.count("*").alias("num"))
     return violation(groups, "event_individual", key_of("tag_id"), F.col("num"))
 
 
 def events_without(events: DataFrame, parent: DataFrame, check: str) -> DataFrame:
     """Events whose tag is not in the parent (deployments, or tags), counted per tag."""
-    counts = events.groupBy("study_id", "tag_id").agg(F.count(F.lit(1)).alias("num"))
+    counts = events.groupBy("study_id", "tag_id").agg(F.count("*").alias("num"))
     on = ["study_id", "tag_id"]
     lost = counts.join(parent.select(*on), on, "left_anti")
     return violation(lost, check, key_of("tag_id"), F.col("num"))
@@ -150,11 +150,11 @@ def dedupe_arithmetic(before: DataFrame, after: DataFrame, keys=KEYS, unit="seco
     groups = (
         with_time_unit(before, unit)
         .groupBy(*keys, TIME_UNIT)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count("*").alias("_n"))
         .groupBy("study_id")
-        .agg(F.count(F.lit(1)).alias("groups"))
+        .agg(F.count("*").alias("groups"))
     )
-    rows = after.groupBy("study_id").agg(F.count(F.lit(1)).alias("kept"))
+    rows = after.groupBy("study_id").agg(F.count("*").alias("kept"))
     off = groups.join(rows, "study_id", "full").na.fill(0, ["groups", "kept"]).where("groups <> kept")
     detail = F.format_string("%d groups, %d rows", "groups", "kept")
     return violation(off, "dedupe_arithmetic", F.lit("event"), detail)
@@ -188,11 +188,11 @@ def unresolved_identifiers(export: DataFrame, resolved: DataFrame) -> DataFrame:
         groups = (
             resolved.where(F.col(name).isNull())
             .groupBy("study_id")
-            .agg(F.count(F.lit(1)).alias("num"))
+            .agg(F.count("*").alias("num"))
         )
         lost.append(violation(groups, "identifier_resolved", F.lit(name), F.col("num")))
-    rows_in = export.groupBy("study_id").agg(F.count(F.lit(1)).alias("rows_in"))
-    rows_out = resolved.groupBy("study_id").agg(F.count(F.lit(1)).alias("rows_out"))
+    rows_in = export.groupBy("study_id").agg(F.count("*").alias("rows_in"))
+    rows_out = resolved.groupBy("study_id").agg(F.count("*").alias("rows_out"))
     off = rows_in.join(rows_out, "study_id", "full").na.fill(0).where("rows_in <> rows_out")
     detail = F.format_string("%d rows in, %d out", "rows_in", "rows_out")
     return all_of(*lost, violation(off, "identifier_rows", F.lit("event"), detail))
@@ -216,7 +216,7 @@ def broken_references(new: dict[str, DataFrame], existing: dict[str, DataFrame])
             .where(F.col(column).isNotNull())
             .select("study_id", F.col(column).alias("_ref"))
             .groupBy("study_id", "_ref")
-            .agg(F.count(F.lit(1)).alias("num"))
+            .agg(F.count("*").alias("num"))
         )
         lost = used.join(known, "_ref", "left_anti")
         where = F.concat(F.lit(f"{child}.{column}/"), F.col("_ref").cast("string"))
@@ -242,7 +242,7 @@ def taken_keys(new: dict[str, DataFrame], existing: dict[str, DataFrame]) -> Dat
             )
             rows = rows.unionByName(again)
         per_study = rows.groupBy("_key", "study_id").agg(
-            F.count(F.lit(1)).alias("_rows"), F.max("_new").alias("_new")
+            F.count("*").alias("_rows"), F.max("_new").alias("_new")
         )
         # Per key: how often it is used, and the studies of the new rows that use it.
         total = per_study.groupBy("_key").agg(F.sum("_rows").alias("num")).where("num > 1")

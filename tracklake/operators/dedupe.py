@@ -26,7 +26,7 @@ def duplicate_groups(df: DataFrame, keys=KEYS, unit: str | None = "second") -> D
     return (
         with_time_unit(df, unit)
         .groupBy(*keys, TIME_UNIT)
-        .agg(F.count(F.lit(1)).alias("num"))
+        .agg(F.count("*").alias("num"))
         .where(F.col("num") > 1)
     )
 
@@ -46,7 +46,7 @@ def number_groups(groups: DataFrame, order: list[str], name: str = "dup_id") ->
         groups.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
     )
     # One row per range, so as many as there are shuffle partitions.
-    sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    sizes = ranges.groupBy("_range").agg(F.count("*").alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
     within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
@@ -66,7 +66,7 @@ def duplicate_events(df: DataFrame, keys=KEYS, unit: str | None = "second") -> D
 def with_group_size(df: DataFrame, keys=KEYS, unit: str | None = "second") -> DataFrame:
     """Every row with the size of its group."""
     marked = with_time_unit(df, unit)
-    sizes = marked.groupBy(*keys, TIME_UNIT).agg(F.count(F.lit(1)).alias("num"))
+    sizes = marked.groupBy(*keys, TIME_UNIT).agg(F.count("*").alias("num"))
     return join_facts(marked, sizes, [*keys, TIME_UNIT], small=False)
 
 
@@ -130,7 +130,7 @@ def speed_by_group(df: DataFrame, keys=KEYS) -> DataFrame:
         with_time_unit(df, None)
         .groupBy(*keys, TIME_UNIT)
         .agg(
-            F.count(F.lit(1)).alias("num"),
+            F.count("*").alias("num"),
             F.every(missing(df, "ground_speed")).alias("allna"),
             F.count(speed).alias("numnotna"),
             F.count_distinct(F.struct(round_even(speed, 5))).alias("uniq"),
@@ -144,18 +144,18 @@ def duplicates_per_individual(
 ) -> DataFrame:
     """Number of duplicate groups of each individual; zero where there is none."""
     owner = [k for k in ("study_id", "individual_id") if k in keys]
-    counts = duplicate_groups(df, keys, unit).groupBy(*owner).agg(F.count(F.lit(1)).alias("num"))
+    counts = duplicate_groups(df, keys, unit).groupBy(*owner).agg(F.count("*").alias("num"))
     people = individual.select("study_id", "individual_id", "local_identifier")
     return people.join(counts, owner, "left").withColumn("num", F.coalesce("num", F.lit(0)))
 
 
 def duplicate_total(df: DataFrame, keys=KEYS, unit: str | None = "second") -> DataFrame:
-    return duplicate_groups(df, keys, unit).agg(F.count(F.lit(1)).alias("num"))
+    return duplicate_groups(df, keys, unit).agg(F.count("*").alias("num"))
 
 
 def groups_larger_than(df: DataFrame, size: int, keys=KEYS, unit: str | None = "second") -> DataFrame:
     groups = duplicate_groups(df, keys, unit)
-    return groups.where(F.col("num") > size).agg(F.count(F.lit(1)).alias("num"))
+    return groups.where(F.col("num") > size).agg(F.count("*").alias("num"))
 
 
 def without_exact_duplicates(df: DataFrame, keys=KEYS) -> DataFrame:
@@ -173,12 +173,12 @@ def near_duplicate_groups(df: DataFrame, keys=KEYS) -> DataFrame:
     singles = (
         with_time_unit(df, None)
         .groupBy(*keys, TIME_UNIT)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count("*").alias("_n"))
         .where("_n = 1")
     )
     return (
         singles.groupBy(*keys, millis_text(F.col(TIME_UNIT)).alias("ts_ms"))
-        .agg(F.count(F.lit(1)).alias("num"))
+        .agg(F.count("*").alias("num"))
         .where(F.col("num") > 1)
     )
 

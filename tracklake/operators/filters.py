@@ -110,7 +110,7 @@ def reject_report(df: DataFrame, rules: dict, by: str = "study_id") -> DataFrame
     `failing` counts rows that break the rule, `dropped` those that got as far as this rule.
     """
     first = first_failing_rule(df, rules)
-    counts = [F.count(F.lit(1)).alias("_in")]
+    counts = [F.count("*").alias("_in")]
     for name, rule in rules.items():
         counts.append(F.count(F.when(~holds(rule, df), 1)).alias(f"_f_{name}"))
         counts.append(F.count(F.when(first == name, 1)).alias(f"_d_{name}"))
@@ -132,7 +132,7 @@ def reject_totals(df: DataFrame, rules: dict, by: str = "study_id") -> DataFrame
     """Rows in, out and dropped per study."""
     bad = first_failing_rule(df, rules)
     return df.groupBy(by).agg(
-        F.count(F.lit(1)).alias("rows_in"),
+        F.count("*").alias("rows_in"),
         F.count(F.when(bad.isNull(), 1)).alias("rows_out"),
         F.count(bad).alias("rows_dropped"),
     )

@@ -26,7 +26,7 @@ def measured_bytes(df: DataFrame) -> int | None:
     sizes = [F.coalesce(F.sum(F.octet_length(n)), F.lit(0)) for n in texts]
     row = df.select(
         *[F.col(n) for n in texts]
-    ).agg(F.count(F.lit(1)), *sizes).first()
+    ).agg(F.count("*"), *sizes).first()
     return row[0] * 16 * (len(fields) + 1) + sum(row[1:])
 
 
@@ -42,7 +42,7 @@ def hot_keys(facts: DataFrame, on: list[str], hot_rows: int) -> DataFrame:
     """
     return (
         facts.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count("*").alias("_n"))
         .where(F.col("_n") > hot_rows)
         .select(*on, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_spread"))
     )

@@ -13,11 +13,9 @@ from tracklake.functions.values import missing
 from tracklake.operators.filters import in_period
 from tracklake.operators.relate import keep_matching
 
-ROWS = F.lit(1)
-
 
 def num(name: str = "num"):
-    return F.count(ROWS).alias(name)
+    return F.count("*").alias(name)
 
 
 def events_by_individual(event: DataFrame) -> DataFrame:

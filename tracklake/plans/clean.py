@@ -109,12 +109,12 @@ def keep_matching_study(df: DataFrame, studies: DataFrame) -> DataFrame:
 
 def reject_counts(annotated: DataFrame, event: DataFrame) -> DataFrame:
     """Rejected events per study and reason, duplicates included."""
-    reasons = annotated.groupBy("study_id", "reject").agg(F.count(F.lit(1)).alias("num"))
+    reasons = annotated.groupBy("study_id", "reject").agg(F.count("*").alias("num"))
     rejected = reasons.where(F.col("reject").isNotNull()).select(
         "study_id", F.col("reject").alias("reason"), "num"
     )
     deployed = reasons.where(F.col("reject").isNull()).select("study_id", "num")
-    kept = event.groupBy("study_id").agg(F.count(F.lit(1)).alias("_kept"))
+    kept = event.groupBy("study_id").agg(F.count("*").alias("_kept"))
     duplicates = deployed.join(kept, "study_id", "left").select(
         "study_id",
         F.lit(DUPLICATE).alias("reason"),

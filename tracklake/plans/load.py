@@ -73,7 +73,7 @@ def import_clean(
     counts = []
     for entity in ENTITIES:
         if dry_run:
-            counted = good[entity].groupBy("study_id").agg(F.count(F.lit(1)).alias("num"))
+            counted = good[entity].groupBy("study_id").agg(F.count("*").alias("num"))
         else:
             counted = tables.append_rows(good[entity], root, entity, load_id)
         counts.append(counted.select("study_id", F.lit(entity).alias("entity"), "num"))
@@ -86,7 +86,7 @@ def import_clean(
 
 def clean_counts(clean_tables: dict[str, DataFrame]) -> DataFrame:
     counts = [
-        df.groupBy("study_id").agg(F.count(F.lit(1)).alias("num")).select(
+        df.groupBy("study_id").agg(F.count("*").alias("num")).select(
             "study_id", F.lit(entity).alias("entity"), "num"
         )
         for entity, df in clean_tables.items()

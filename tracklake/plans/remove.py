@@ -64,7 +64,7 @@ def delete_counts(split: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     """Rows deleted per table."""
     return all_of(
         *[
-            gone.agg(F.count(F.lit(1)).alias("num")).select(F.lit(entity).alias("entity"), "num")
+            gone.agg(F.count("*").alias("num")).select(F.lit(entity).alias("entity"), "num")
             for entity, (gone, _) in split.items()
         ]
     )

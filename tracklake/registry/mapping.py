@@ -206,6 +206,8 @@ FINAL_SQL = (
     + merged_sql("eobs_type_of_fix", "gps_fix_type")
     + " as integer) as fix_type"
 )
+# The same with the time as text, as results are compared.
+FINAL_TEXT_SQL = FINAL_SQL.replace(", timestamp,", ", {{ts:timestamp}} as timestamp,")
 INSIDE_SQL = (
     "(deploy_on_timestamp is null or timestamp >= deploy_on_timestamp) and "
     "(deploy_off_timestamp is null or timestamp < deploy_off_timestamp)"

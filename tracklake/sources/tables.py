@@ -47,7 +47,7 @@ def append_rows(df: DataFrame, root: str, entity: str, load_id: str) -> DataFram
     balanced = balanced_by_study(rows, SORT_WITHIN.get(entity, ()))
     _writer(balanced.withColumn("load_id", F.lit(load_id))).mode("append").parquet(f"{root}/{entity}")
     written = staged_rows(df.sparkSession, root, entity, load_id)
-    return written.groupBy("study_id").agg(F.count(F.lit(1)).alias("num"))
+    return written.groupBy("study_id").agg(F.count("*").alias("num"))
 
 
 def append_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("study_id",)) -> int:
