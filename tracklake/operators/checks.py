@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracklake.functions.values import ENDS_BLANK, HAS_LINE_BREAK, STARTS_BLANK
-from tracklake.operators.dedupe import KEYS, TIME_UNIT, duplicate_groups, with_time_unit
+from tracklake.operators.dedupe import KEYS, TIME_UNIT, duplicate_groups
 from tracklake.operators.relate import in_deployment
 from tracklake.operators.repair import text_columns
 from tracklake.schema import FOREIGN_KEYS, PRIMARY_KEY
@@ -92,54 +92,70 @@ def repeated_keys(df: DataFrame, entity: str) -> DataFrame:
     return violation(groups, "primary_key", F.concat(F.lit(f"{entity}/"), key_of(key)), F.col("num"))
 
 
-def events_per_sensor(events: DataFrame) -> DataFrame:
-    """Event counts per tag and sensor type: small, and shared by the checks below."""
-    return events.groupBy("study_id", "tag_id", "sensor_type_id").agg(F.count("*").alias("num"))
+PROFILE_KEYS = ("study_id", "deployment_id", "tag_id", "sensor_type_id")
 
 
-def events_without_single_sensor(events: DataFrame, sensor: DataFrame) -> DataFrame:
-    """Events whose tag has no sensor of their type, or several.
+def profile(events: DataFrame) -> DataFrame:
+    """Event counts per study, deployment, tag and sensor type, from one pass.
 
-    Events are counted per tag and type first, so no event row is joined.
+    All event checks below read this small frame instead of the events. `outside` counts events
+    outside their deployment, `ownerless` those without an individual.
     """
+    located = {"deploy_on_timestamp", "deploy_off_timestamp", "deployment_id"} <= set(events.columns)
+    inside = F.coalesce(in_deployment(), F.lit(False)) if located else F.lit(True)
+    if not located:
+        events = events.withColumn("deployment_id", F.lit(None).cast("bigint"))
+    return events.groupBy(*PROFILE_KEYS).agg(
+        F.count("*").alias("num"),
+        F.count(F.when(~inside, 1)).alias("outside"),
+        F.count(F.when(F.col("individual_id").isNull(), 1)).alias("ownerless"),
+    )
+
+
+def _sum_of(profiled: DataFrame, value: str, *by: str) -> DataFrame:
+    sums = profiled.groupBy(*by).agg(F.sum(value).alias("num"))
+    return sums.where("num > 0")
+
+
+def events_without_single_sensor(profiled: DataFrame, sensor: DataFrame) -> DataFrame:
+    """Events whose tag has no sensor of their type, or several."""
     on = ["study_id", "tag_id", "sensor_type_id"]
     sensors = sensor.groupBy(*on).agg(F.count("*").alias("sensors"))
-    matched = events_per_sensor(events).join(sensors, on, "left")
+    matched = _sum_of(profiled, "num", *on).join(sensors, on, "left")
     matched = matched.withColumn("sensors", F.coalesce("sensors", F.lit(0))).where("sensors <> 1")
     detail = F.format_string("%d events, %d sensors", "num", "sensors")
     return violation(matched, "event_sensor", key_of("tag_id", "sensor_type_id"), detail)
 
 
-def events_outside_deployment(events: DataFrame) -> DataFrame:
+def events_outside_deployment(profiled: DataFrame) -> DataFrame:
     """Counts per deployment of events outside its interval, in joined events."""
-    outside = events.where(~F.coalesce(in_deployment(), F.lit(False)))
-    groups = outside.groupBy("study_id", "deployment_id").agg(F.count("*").alias("num"))
+    groups = _sum_of(profiled, "outside", "study_id", "deployment_id")
     return violation(groups, "event_in_deployment", key_of("deployment_id"), F.col("num"))
 
 
-def events_without_individual(events: DataFrame) -> DataFrame:
-    lost = events.where(F.col("individual_id").isNull())
-    groups = lost.groupBy("study_id", "tag_id").agg(F.count("*").alias("num"))
+def events_without_individual(profiled: DataFrame) -> DataFrame:
+    groups = _sum_of(profiled, "ownerless", "study_id", "tag_id")
     return violation(groups, "event_individual", key_of("tag_id"), F.col("num"))
 
 
-def events_without(events: DataFrame, parent: DataFrame, check: str) -> DataFrame:
+def events_without(profiled: DataFrame, parent: DataFrame, check: str) -> DataFrame:
     """Events whose tag is not in the parent (deployments, or tags), counted per tag."""
-    counts = events.groupBy("study_id", "tag_id").agg(F.count("*").alias("num"))
+    counts = _sum_of(profiled, "num", "study_id", "tag_id")
     on = ["study_id", "tag_id"]
     lost = counts.join(parent.select(*on), on, "left_anti")
     return violation(lost, check, key_of("tag_id"), F.col("num"))
 
 
-def events_without_deployed_tag(events: DataFrame, deployment: DataFrame) -> DataFrame:
-    return events_without(events, deployment, "event_tag_deployed")
+def events_without_deployed_tag(profiled: DataFrame, deployment: DataFrame) -> DataFrame:
+    return events_without(profiled, deployment, "event_tag_deployed")
 
 
-def events_without_tag(events: DataFrame, tag: DataFrame) -> DataFrame:
-    return events_without(events, tag, "event_tag")
+def events_without_tag(profiled: DataFrame, tag: DataFrame) -> DataFrame:
+    return events_without(profiled, tag, "event_tag")
 
 
 def studies_without_events(studies: DataFrame, events: DataFrame) -> DataFrame:
+    """Studies with nothing left; `events` may be the events or their profile."""
     seen = events.select("study_id").distinct()
     empty = studies.select("study_id").join(seen, "study_id", "left_anti")
     return violation(empty, "events_remain", F.lit("event"), "no event remains")
@@ -147,15 +163,22 @@ def studies_without_events(studies: DataFrame, events: DataFrame) -> DataFrame:
 
 def dedupe_arithmetic(before: DataFrame, after: DataFrame, keys=KEYS, unit="second") -> DataFrame:
     """Rows after de-duplication must be as many as there were groups before."""
-    groups = (
-        with_time_unit(before, unit)
-        .groupBy(*keys, TIME_UNIT)
-        .agg(F.count("*").alias("_n"))
-        .groupBy("study_id")
-        .agg(F.count("*").alias("groups"))
+    rows_in = before.groupBy("study_id").agg(F.count("*").alias("num"))
+    rows_out = after.groupBy("study_id").agg(F.count("*").alias("num"))
+    return dedupe_totals(rows_in, duplicate_groups(before, keys, unit), rows_out)
+
+
+def dedupe_totals(rows_in: DataFrame, groups: DataFrame, rows_out: DataFrame) -> DataFrame:
+    """The same from row counts per study and the duplicate groups: each group keeps one row."""
+    extra = groups.groupBy("study_id").agg(F.sum(F.col("num") - 1).alias("extra"))
+    off = (
+        rows_in.withColumnRenamed("num", "rows_in")
+        .join(extra, "study_id", "left")
+        .join(rows_out.withColumnRenamed("num", "kept"), "study_id", "full")
+        .na.fill(0, ["rows_in", "extra", "kept"])
+        .withColumn("groups", F.col("rows_in") - F.col("extra"))
+        .where("groups <> kept")
     )
-    rows = after.groupBy("study_id").agg(F.count("*").alias("kept"))
-    off = groups.join(rows, "study_id", "full").na.fill(0, ["groups", "kept"]).where("groups <> kept")
     detail = F.format_string("%d groups, %d rows", "groups", "kept")
     return violation(off, "dedupe_arithmetic", F.lit("event"), detail)
 

@@ -10,17 +10,32 @@ from pyspark.sql import types as T
 
 from tracklake.functions.times import millis_text, to_unit
 from tracklake.functions.values import missing, present, round_even, value_count
-from tracklake.operators.joins import join_facts
+from tracklake.operators.joins import is_small, join_facts
 from tracklake.session import checkpointed, stage
 
 KEYS = ("study_id", "individual_id", "tag_id", "sensor_type_id")
 TIME_UNIT = "ts_unit"
+# The keys of a group as one struct: unlike plain columns, structs with equal gaps are equal,
+# so rows with a missing key meet their group in a join.
+GROUP = "_group"
 
 
 def with_time_unit(df: DataFrame, unit: str | None, ts: str = "timestamp") -> DataFrame:
     return df.withColumn(TIME_UNIT, to_unit(F.col(ts), unit))
 
 
+def with_group(df: DataFrame, keys=KEYS, last: str = TIME_UNIT) -> DataFrame:
+    return df.withColumn(GROUP, F.struct(*keys, last))
+
+
+def join_groups(
+    df: DataFrame, groups: DataFrame, keys=KEYS, how: str = "inner", last: str = TIME_UNIT, **options
+) -> DataFrame:
+    """Join rows to values of their groups. Both sides have the key columns and `last`."""
+    side = with_group(groups, keys, last).drop(*keys, last)
+    return join_facts(with_group(df, keys, last), side, [GROUP], how, **options).drop(GROUP)
+
+
 def duplicate_groups(df: DataFrame, keys=KEYS, unit: str | None = "second") -> DataFrame:
     """Key groups with more than one row, and how many rows they have."""
     return (
@@ -60,14 +75,14 @@ def number_groups(groups: DataFrame, order: list[str], name: str = "dup_id") ->
 def duplicate_events(df: DataFrame, keys=KEYS, unit: str | None = "second") -> DataFrame:
     """All rows of groups with more than one row, with the group size and id."""
     groups = stage(with_group_id(duplicate_groups(df, keys, unit), keys), "groups")
-    return join_facts(with_time_unit(df, unit), groups, [*keys, TIME_UNIT])
+    return join_groups(with_time_unit(df, unit), groups, keys)
 
 
 def with_group_size(df: DataFrame, keys=KEYS, unit: str | None = "second") -> DataFrame:
     """Every row with the size of its group."""
     marked = with_time_unit(df, unit)
     sizes = marked.groupBy(*keys, TIME_UNIT).agg(F.count("*").alias("num"))
-    return join_facts(marked, sizes, [*keys, TIME_UNIT], small=False)
+    return join_groups(marked, sizes, keys, small=False)
 
 
 def richest_rows(df: DataFrame, keys=KEYS, unit: str | None = "second", counted=None) -> DataFrame:
@@ -75,9 +90,8 @@ def richest_rows(df: DataFrame, keys=KEYS, unit: str | None = "second", counted=
     counted = list(counted or df.columns)
     marked = with_time_unit(df.withColumn("numvals", value_count(df, counted)), unit)
     best = marked.groupBy(*keys, TIME_UNIT).agg(F.max("numvals").alias("_best"))
-    on = [*keys, TIME_UNIT]
     richest = F.col("numvals") == F.col("_best")
-    return join_facts(marked, best, on, condition=richest, small=False).drop("_best")
+    return join_groups(marked, best, keys, condition=richest, small=False).drop("_best")
 
 
 def dedupe_events(
@@ -111,6 +125,22 @@ def dedupe_events(
     )
 
 
+def dedupe_stored(
+    df: DataFrame, groups: DataFrame, keys=KEYS, unit: str | None = "second", **options
+) -> DataFrame:
+    """As dedupe_events, for events in a table and their duplicate groups, known already.
+
+    Only rows of those groups are ranked. All other rows, nearly all as a rule, pass without
+    being shuffled; the price is a second reading of the table.
+    """
+    small = is_small(with_group(groups, keys).select(GROUP))
+    marked = with_time_unit(df, unit)
+    side = groups.select(*keys, TIME_UNIT)
+    single = join_groups(marked, side, keys, "left_anti", small=small).drop(TIME_UNIT)
+    repeated = join_groups(marked, side, keys, "left_semi", small=small).drop(TIME_UNIT)
+    return single.unionByName(dedupe_events(repeated, keys, unit, **options))
+
+
 def _rounded(df: DataFrame, name: str) -> Column:
     c = F.col(name)
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
@@ -120,7 +150,7 @@ def _rounded(df: DataFrame, name: str) -> Column:
 
 def removed_duplicates(df: DataFrame, kept: DataFrame, on=("study_id", "event_id")) -> DataFrame:
     """The rows that de-duplication dropped."""
-    return df.join(kept.select(*on), list(on), "left_anti")
+    return join_facts(df, kept.select(*on), list(on), "left_anti", small=False)
 
 
 def speed_by_group(df: DataFrame, keys=KEYS) -> DataFrame:
@@ -162,7 +192,7 @@ def without_exact_duplicates(df: DataFrame, keys=KEYS) -> DataFrame:
     """Events that share their exact time with no other event of the same keys."""
     groups = stage(duplicate_groups(df, keys, None), "groups")
     marked = with_time_unit(df, None)
-    return join_facts(marked, groups, [*keys, TIME_UNIT], "left_anti").drop(TIME_UNIT)
+    return join_groups(marked, groups, keys, "left_anti").drop(TIME_UNIT)
 
 
 def near_duplicate_groups(df: DataFrame, keys=KEYS) -> DataFrame:
@@ -187,4 +217,4 @@ def near_duplicate_events(df: DataFrame, keys=KEYS) -> DataFrame:
     """The events of those groups."""
     marked = df.withColumn("ts_ms", millis_text(F.col("timestamp")))
     groups = stage(near_duplicate_groups(df, keys), "near-groups")
-    return join_facts(marked, groups, [*keys, "ts_ms"])
+    return join_groups(marked, groups, keys, last="ts_ms")

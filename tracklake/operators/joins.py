@@ -13,21 +13,26 @@ HOT_ROWS = 5_000_000
 # Rows without a key match nothing; they are spread over this many tasks.
 NULL_KEY_SPREAD = 1024
 
-_VARIABLE_WIDTH = (T.StringType, T.BinaryType)
-_NESTED = (T.ArrayType, T.MapType, T.StructType)
+
+def _flat_columns(schema: T.StructType, prefix: str = "") -> list[tuple[str, T.DataType]]:
+    out = []
+    for f in schema.fields:
+        if isinstance(f.dataType, T.StructType):
+            out += _flat_columns(f.dataType, f"{prefix}{f.name}.")
+        else:
+            out.append((prefix + f.name, f.dataType))
+    return out
 
 
 def measured_bytes(df: DataFrame) -> int | None:
     """Size of a frame from one counting pass, or None where a nested type hides it."""
-    fields = df.schema.fields
-    if any(isinstance(f.dataType, _NESTED) for f in fields):
+    columns = _flat_columns(df.schema)
+    if any(isinstance(kind, (T.ArrayType, T.MapType)) for _, kind in columns):
         return None
-    texts = [f.name for f in fields if isinstance(f.dataType, _VARIABLE_WIDTH)]
+    texts = [name for name, kind in columns if isinstance(kind, (T.StringType, T.BinaryType))]
     sizes = [F.coalesce(F.sum(F.octet_length(n)), F.lit(0)) for n in texts]
-    row = df.select(
-        *[F.col(n) for n in texts]
-    ).agg(F.count("*"), *sizes).first()
-    return row[0] * 16 * (len(fields) + 1) + sum(row[1:])
+    row = df.agg(F.count("*"), *sizes).first()
+    return row[0] * 16 * (len(columns) + 1) + sum(row[1:])
 
 
 def is_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
@@ -64,13 +69,15 @@ def join_facts(
     shuffled on the keys; the rows of a hot key are spread by a hash of the whole fact row, and
     the side rows of that key (only those) are repeated once per part. Each fact row is in
     exactly one part, so every join type keeps its meaning. `condition` is a further predicate
-    on the matched pair; it refers to columns by name. `small=False` skips the size check for a
-    side known to be as large as the facts.
+    on the matched pair; it refers to columns by name. `small` tells what an earlier size check
+    found, or that the side is as large as the facts.
     """
     on = list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type {how} would repeat side rows")
-    if small is not False and is_small(side, broadcast_bytes):
+    if small is None:
+        small = is_small(side, broadcast_bytes)
+    if small:
         return _join(facts, F.broadcast(side), on, how, condition)
 
     hot = stage(hot_keys(facts.na.drop(subset=on), on, hot_rows), "hot-keys")

@@ -6,19 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklake.operators import checks
-from tracklake.operators.dedupe import KEYS, dedupe_events
+from tracklake.operators.dedupe import KEYS, dedupe_stored, duplicate_groups
 from tracklake.operators.filters import (
     EXCLUDED_SPECIES,
     event_rules,
     first_failing_rule,
     keep_allowed_species,
 )
-from tracklake.operators.joins import join_facts
+from tracklake.operators.joins import is_small, join_facts
 from tracklake.operators.relate import (
     DEPLOYMENT_COLUMNS,
     DEPLOYMENT_KEYS,
     in_deployment,
-    keep_matching,
     reduce_entities,
 )
 from tracklake.operators.shape import final_event_columns, merge_vendor_columns
@@ -62,7 +61,7 @@ def clean(
 
     `raw` holds the six tables under clean names with a study_id in each. The annotated events
     and the clean events are written to the shared folder once; all checks and counts read the
-    columns they need from there. `verify` adds the checks on the de-duplicated events.
+    columns they need from there. `verify` counts the groups of the clean events once more.
     """
     counted = [c for c in raw["event"].columns if c != "study_id"]
     individual = keep_allowed_species(raw["individual"], species_pattern, keep_missing_species)
@@ -73,38 +72,36 @@ def clean(
     rules = event_rules(as_of, check_range)
     annotated = stage(annotate_events(raw["event"], deployment, rules), "annotated")
     deployed = annotated.where(F.col("reject").isNull()).drop("reject")
-    unique = dedupe_events(deployed, KEYS, unit, counted, ties=ties)
+    profile = stage(checks.profile(deployed), "profile")
+    groups = stage(duplicate_groups(deployed, KEYS, unit), "groups")
+    unique = dedupe_stored(deployed, groups, KEYS, unit, counted=counted, ties=ties)
     event = stage(final_event_columns(merge_vendor_columns(unique)), "event")
 
     studies = raw["study"].select("study_id").distinct()
+    rows_in = profile.groupBy("study_id").agg(F.sum("num").alias("num"))
+    rows_out = event.groupBy("study_id").agg(F.count("*").alias("num"))
     found = [
         checks.entities_without_records(studies, raw),
         checks.tags_without_deployment(kept["tag"], deployment),
         checks.repeated_deployments(deployment),
         checks.shared_deployment_ends(deployment),
         *[checks.repeated_keys(kept[e], e) for e in ("individual", "deployment", "tag", "sensor")],
-        checks.events_outside_deployment(deployed),
-        checks.events_without_individual(deployed),
-        checks.events_without_tag(deployed, kept["tag"]),
-        checks.events_without_single_sensor(deployed, kept["sensor"]),
-        checks.events_without_deployed_tag(event, deployment),
-        checks.studies_without_events(studies, event),
+        checks.events_outside_deployment(profile),
+        checks.events_without_individual(profile),
+        checks.events_without_tag(profile, kept["tag"]),
+        checks.events_without_single_sensor(profile, kept["sensor"]),
+        checks.events_without_deployed_tag(profile, deployment),
+        checks.studies_without_events(studies, profile),
+        checks.dedupe_totals(rows_in, groups, rows_out),
     ]
     if verify:
-        found.append(checks.dedupe_arithmetic(deployed, event, KEYS, unit))
         found.append(checks.remaining_duplicates(event, KEYS, unit))
     violations = stage(checks.all_of(*found), "violations")
-    failed = stage(checks.failed_studies(violations), "failed")
+    failed = checks.failed_studies(violations)
+    good = stage(studies.join(failed, "study_id", "left_anti"), "good")
 
     tables = {"study": raw["study"], **kept, "event": event}
-    passed = {n: join_facts(df, failed, ["study_id"], "left_anti") for n, df in tables.items()}
-    known = {n: df if n == "study" else keep_matching_study(df, studies) for n, df in passed.items()}
-    return Cleaned(known, reject_counts(annotated, event), violations, failed)
-
-
-def keep_matching_study(df: DataFrame, studies: DataFrame) -> DataFrame:
-    """Rows of the studies at hand."""
-    return join_facts(df, studies, ["study_id"], "left_semi")
+    return Cleaned(of_studies(tables, good), reject_counts(annotated, event), violations, failed)
 
 
 def reject_counts(annotated: DataFrame, event: DataFrame) -> DataFrame:
@@ -123,10 +120,10 @@ def reject_counts(annotated: DataFrame, event: DataFrame) -> DataFrame:
     return rejected.unionByName(duplicates.where("num > 0"))
 
 
-def of_studies(raw: dict[str, DataFrame], studies: DataFrame) -> dict[str, DataFrame]:
-    """The raw tables of some studies."""
+def of_studies(frames: dict[str, DataFrame], studies: DataFrame) -> dict[str, DataFrame]:
+    """The tables of some studies."""
+    small = is_small(studies)
     return {
-        name: join_facts(df, studies, ["study_id"], "left_semi") if name == "event"
-        else keep_matching(df, studies, ["study_id"])
-        for name, df in raw.items()
+        name: join_facts(df, studies, ["study_id"], "left_semi", small=small)
+        for name, df in frames.items()
     }

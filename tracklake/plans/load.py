@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklake.operators import checks
-from tracklake.operators.joins import join_facts
 from tracklake.operators.relate import keep_matching
 from tracklake.operators.reports import entity_counts
 from tracklake.operators.shape import conform
@@ -63,12 +62,9 @@ def import_clean(
     existing = tables.read_tables(spark, root)
     found = checks.broken_references(new, existing).unionByName(checks.taken_keys(new, existing))
     violations = stage(found, "import-violations")
-    failed = stage(checks.failed_studies(violations), "import-failed")
-    good = {
-        e: df.join(failed, "study_id", "left_anti") if e != "event"
-        else join_facts(df, failed, ["study_id"], "left_anti")
-        for e, df in new.items()
-    }
+    studies = new["study"].select("study_id").distinct()
+    passed = studies.join(checks.failed_studies(violations), "study_id", "left_anti")
+    good = of_studies(new, stage(passed, "passed"))
     load_id = tables.new_load_id()
     counts = []
     for entity in ENTITIES:

@@ -50,16 +50,28 @@ def repeated_deployments(t: Testbed):
     return op.repeated_deployments(t.deployment)
 
 
+# Every ninth deployment is repeated with a later end, every tenth with an earlier start.
+_REDEPLOYED = (
+    "with x as (select study_id, tag_id, deploy_on_timestamp, deploy_off_timestamp from m_deployment union all "
+    "select study_id, tag_id, deploy_on_timestamp, deploy_off_timestamp + interval '1' day from m_deployment where deployment_id % 9 = 0 union all "
+    "select study_id, tag_id, deploy_on_timestamp - interval '1' day, deploy_off_timestamp from m_deployment where deployment_id % 10 = 0) "
+)
+
+
 def _ends(column: str) -> str:
     return (
         f"select {row('deployment_ends', 'cast(tag_id as varchar)', f"'{column}'")} from "
-        f"(select study_id, tag_id, {column}, count(*) as n from m_deployment group by all) where n > 1 group by study_id, tag_id"
+        f"(select study_id, tag_id, {column}, count(*) as n from x group by all) where n > 1 group by study_id, tag_id"
     )
 
 
-@query("J4", _ends("deploy_on_timestamp") + " union all " + _ends("deploy_off_timestamp"))
+@query("J4", _REDEPLOYED + _ends("deploy_on_timestamp") + " union all " + _ends("deploy_off_timestamp"))
 def shared_deployment_ends(t: Testbed):
-    return op.shared_deployment_ends(t.deployment)
+    day = F.expr("interval 1 day")
+    dep = t.deployment
+    later = dep.where("deployment_id % 9 = 0").withColumn("deploy_off_timestamp", F.col("deploy_off_timestamp") + day)
+    earlier = dep.where("deployment_id % 10 = 0").withColumn("deploy_on_timestamp", F.col("deploy_on_timestamp") - day)
+    return op.shared_deployment_ends(dep.unionByName(later).unionByName(earlier))
 
 
 @query(
@@ -83,7 +95,7 @@ def repeated_keys(t: Testbed):
     "on e.study_id = s.study_id and e.tag_id = s.tag_id and e.sensor_type_id = s.sensor_type_id where coalesce(s.n, 0) <> 1",
 )
 def events_without_single_sensor(t: Testbed):
-    return op.events_without_single_sensor(located(t), reduced(t)["sensor"])
+    return op.events_without_single_sensor(op.profile(located(t)), reduced(t)["sensor"])
 
 
 @query(
@@ -97,13 +109,13 @@ def events_outside_deployment(t: Testbed):
     """Raw events joined on ids alone: those the interval would have dropped show up."""
     on = ["study_id", "individual_id", "tag_id"]
     side = t.deployment.select(*on, *relate.DEPLOYMENT_COLUMNS)
-    return op.events_outside_deployment(join_facts(t.raw_event, side, on))
+    return op.events_outside_deployment(op.profile(join_facts(t.raw_event, side, on)))
 
 
 @query("J7", f"select {row('event_in_deployment', 'cast(deployment_id as varchar)', 'cast(count(*) as varchar)')} from m_located where not coalesce({INSIDE_SQL}, false) group by study_id, deployment_id")
 def located_events_outside_deployment(t: Testbed):
     """After the interval join there is nothing to find."""
-    return op.events_outside_deployment(located(t))
+    return op.events_outside_deployment(op.profile(located(t)))
 
 
 @query(
@@ -112,7 +124,7 @@ def located_events_outside_deployment(t: Testbed):
     "where individual_id is null group by study_id, tag_id",
 )
 def events_without_individual(t: Testbed):
-    return op.events_without_individual(t.raw_event)
+    return op.events_without_individual(op.profile(t.raw_event))
 
 
 @query(
@@ -121,7 +133,7 @@ def events_without_individual(t: Testbed):
     "(select 1 from m_deployment d where d.tag_id = r.tag_id and d.study_id = r.study_id) group by study_id, tag_id",
 )
 def events_without_deployed_tag(t: Testbed):
-    return op.events_without_deployed_tag(t.raw_event, t.deployment)
+    return op.events_without_deployed_tag(op.profile(t.raw_event), t.deployment)
 
 
 @query(
@@ -257,4 +269,4 @@ def compared_counts(t: Testbed):
     f"select {row('event_tag', 'cast(tag_id as varchar)', 'cast(count(*) as varchar)')} from m_raw where tag_id % 3 = 0 group by study_id, tag_id",
 )
 def events_without_tag(t: Testbed):
-    return op.events_without_tag(t.raw_event, t.tag.where("tag_id % 3 <> 0"))
+    return op.events_without_tag(op.profile(t.raw_event), t.tag.where("tag_id % 3 <> 0"))

@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracklake.operators.joins import join_facts
+from tracklake.operators.joins import is_small, join_facts
 from tracklake.operators.shape import conform
 from tracklake.schema import ENTITIES, EVENT_STATS_SCHEMA, empty_table, table_schema
+from tracklake.session import stage
 from tracklake.sources.raw import balanced_by_study
 
 COMMIT_SCHEMA = "seq bigint, load_id string, study_id bigint, entity string, state string"
@@ -89,15 +90,23 @@ def live_parts(spark: SparkSession, root: str, entity: str | None = None) -> Dat
     return latest.where(F.col("state") == "live").drop("state")
 
 
+def _visible(spark: SparkSession, root: str, entity: str, live: DataFrame, small: bool) -> DataFrame:
+    parts = live.where(F.col("entity") == entity).select("load_id", "study_id")
+    rows = _all_rows(spark, root, entity)
+    rows = join_facts(rows, parts, ["load_id", "study_id"], "left_semi", small=small)
+    return rows.select(*table_schema(entity).names)
+
+
 def read_table(spark: SparkSession, root: str, entity: str) -> DataFrame:
     """The visible rows of a table."""
-    live = live_parts(spark, root, entity).select("load_id", "study_id")
-    rows = join_facts(_all_rows(spark, root, entity), live, ["load_id", "study_id"], "left_semi")
-    return rows.select(*table_schema(entity).names)
+    live = live_parts(spark, root, entity)
+    return _visible(spark, root, entity, live, is_small(live))
 
 
 def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {entity: read_table(spark, root, entity) for entity in ENTITIES}
+    live = stage(live_parts(spark, root), "live")
+    small = is_small(live)
+    return {entity: _visible(spark, root, entity, live, small) for entity in ENTITIES}
 
 
 def commit(parts: DataFrame, root: str) -> None:
