@@ -65,9 +65,9 @@ def clean(
     """
     counted = [c for c in raw["event"].columns if c != "study_id"]
     individual = keep_allowed_species(raw["individual"], species_pattern, keep_missing_species)
+    # Reduced tables are small; only the deployments, read again and again, are written.
     kept = reduce_entities(individual, raw["tag"], raw["sensor"], raw["deployment"])
-    kept = {name: stage(df, name) for name, df in kept.items()}
-    deployment = kept["deployment"]
+    deployment = kept["deployment"] = stage(kept["deployment"], "deployment")
 
     rules = event_rules(as_of, check_range)
     annotated = stage(annotate_events(raw["event"], deployment, rules), "annotated")

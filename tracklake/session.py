@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +30,11 @@ def local_session(cpus: int | str = 8, partitions: int = 8, memory: str = "8g")
     return configure(spark)
 
 
+@cache
+def _local_folder(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="tracklake-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster.
 
@@ -40,9 +46,7 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="tracklake-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_folder(spark.sparkContext.applicationId)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
