@@ -261,7 +261,7 @@ def taken_keys(new: dict[str, DataFrame], existing: dict[str, DataFrame]) -> Dat
             again = (
                 existing[entity]
                 .select("study_id", F.col(key).alias("_key"), F.lit(0).alias("_new"))
-                .join(df.select(F.col(key).alias("_key")), "_key", "left_semi")
+                .join(df.select(F.col(key).alias("_key")).distinct(), "_key", "left_semi")
             )
             rows = rows.unionByName(again)
         per_study = rows.groupBy("_key", "study_id").agg(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tracklake.functions.times import day, millis_of, millis_suffix, millis_text, year_text
 from tracklake.functions.values import missing
 from tracklake.operators.filters import in_period
+from tracklake.operators.joins import join_facts
 from tracklake.operators.relate import keep_matching
 
 
@@ -155,8 +156,8 @@ def events_per_study_join_first(
 ) -> DataFrame:
     """The same, every event joined first. Kept to compare; events_per_study is the faster."""
     owners = individual.select("individual_id", "study_id")
-    joined = event.select("individual_id").join(owners, "individual_id")
-    return joined.join(study_list(study), "study_id").groupBy("study_id", "study_name").agg(num())
+    joined = join_facts(event.select("individual_id"), owners, ["individual_id"])
+    return join_facts(joined, study_list(study), ["study_id"]).groupBy("study_id", "study_name").agg(num())
 
 
 def events_per_study_name(counts: DataFrame, individual: DataFrame, study: DataFrame) -> DataFrame:
@@ -237,8 +238,6 @@ def millis_distribution(event: DataFrame) -> DataFrame:
 
 def unusual_millis(event: DataFrame, usual=(0, 1, 999)) -> DataFrame:
     """Events whose milliseconds are not among the usual ones."""
-
-
     marked = event.select("individual_id", "timestamp", millis_of(F.col("timestamp")).alias("millis"))
     return marked.where(~F.col("millis").isin(*usual))
 

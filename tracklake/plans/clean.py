@@ -35,6 +35,7 @@ class Cleaned:
     rejects: DataFrame
     violations: DataFrame
     failed: DataFrame
+    passed: DataFrame
 
 
 def annotate_events(events: DataFrame, deployment: DataFrame, rules: dict, **limits) -> DataFrame:
@@ -98,10 +99,11 @@ def clean(
         found.append(checks.remaining_duplicates(event, KEYS, unit))
     violations = stage(checks.all_of(*found), "violations")
     failed = checks.failed_studies(violations)
-    good = stage(studies.join(failed, "study_id", "left_anti"), "good")
+    passed = stage(studies.join(failed, "study_id", "left_anti"), "passed")
 
     tables = {"study": raw["study"], **kept, "event": event}
-    return Cleaned(of_studies(tables, good), reject_counts(annotated, event), violations, failed)
+    rejects = reject_counts(annotated, event)
+    return Cleaned(of_studies(tables, passed), rejects, violations, failed, passed)
 
 
 def reject_counts(annotated: DataFrame, event: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ class Imported:
     load_id: str
     rows: DataFrame
     violations: DataFrame
+    passed: DataFrame
     committed: bool
 
 
@@ -63,8 +64,8 @@ def import_clean(
     found = checks.broken_references(new, existing).unionByName(checks.taken_keys(new, existing))
     violations = stage(found, "import-violations")
     studies = new["study"].select("study_id").distinct()
-    passed = studies.join(checks.failed_studies(violations), "study_id", "left_anti")
-    good = of_studies(new, stage(passed, "passed"))
+    passed = stage(studies.join(checks.failed_studies(violations), "study_id", "left_anti"), "passed")
+    good = of_studies(new, passed)
     load_id = tables.new_load_id()
     counts = []
     for entity in ENTITIES:
@@ -77,7 +78,7 @@ def import_clean(
     if not dry_run:
         parts = rows.select(F.lit(load_id).alias("load_id"), "study_id", "entity", F.lit("live").alias("state"))
         tables.commit(parts, root)
-    return Imported(load_id, rows, violations, not dry_run)
+    return Imported(load_id, rows, violations, passed, not dry_run)
 
 
 def clean_counts(clean_tables: dict[str, DataFrame]) -> DataFrame:
@@ -97,12 +98,12 @@ def validate_import(clean_tables: dict[str, DataFrame], db: dict[str, DataFrame]
     return checks.compare_counts(clean_counts(clean_tables), in_tables)
 
 
-def status_of(studies: DataFrame, failed: DataFrame, step: str) -> DataFrame:
-    bad = failed.select("study_id").distinct().withColumn("_bad", F.lit(True))
-    return studies.join(bad, "study_id", "left").select(
+def status_of(studies: DataFrame, passed: DataFrame, step: str) -> DataFrame:
+    good = passed.select("study_id", F.lit(True).alias("_good"))
+    return studies.join(good, "study_id", "left").select(
         "study_id",
         F.lit(step).alias("step"),
-        F.when(F.col("_bad"), "fail").otherwise("success").alias("result"),
+        F.when(F.col("_good"), "success").otherwise("fail").alias("result"),
     )
 
 
@@ -127,32 +128,31 @@ def run(
     if unknown:
         raise ValueError(f"unknown steps: {sorted(unknown)}")
     if isinstance(raw, str):
-        raw = {e: read_raw(spark, raw, e) for e in ENTITIES}
+        # The control list is kept by hand; with it only the marked studies' files are opened.
+        marked = None if control is None else [r.study_id for r in control.distinct().collect()]
+        raw = {e: read_raw(spark, raw, e, marked) for e in ENTITIES}
     log = []
-
-    def note(studies, failed, step):
-        log.append(stage(status_of(studies, failed, step), "status"))
-        return stage(studies.join(failed.select("study_id"), "study_id", "left_anti"), "going-on")
-
     going = control if control is not None else (raw["study"] if raw else None)
     going = going.select("study_id").distinct() if going is not None else None
     if "c" in steps:
         cleaned = clean(of_studies(raw, going), **options)
         write_clean(cleaned.tables, clean_root, file_format)
-        going = note(going, cleaned.failed, STEPS["c"])
+        log.append(status_of(going, cleaned.passed, STEPS["c"]))
+        going = cleaned.passed
     clean_tables = read_clean(spark, clean_root, file_format)
     if going is None:
         going = clean_tables["study"].select("study_id").distinct()
     clean_tables = of_studies(clean_tables, going)
     if "i" in steps:
         imported = import_clean(spark, clean_tables, table_root, dry_run)
-        going = note(going, checks.failed_studies(imported.violations), STEPS["i"])
+        log.append(status_of(going, imported.passed, STEPS["i"]))
+        going = imported.passed
         clean_tables = of_studies(clean_tables, going)
     if "v" in steps and not dry_run:
         compared = validate_import(clean_tables, tables.read_tables(spark, table_root))
-        failed = compared.where(~F.col("equal")).select("study_id").distinct()
-        going = note(going, failed, STEPS["v"])
-    status = checks.all_of(*log)
+        agreed = compared.groupBy("study_id").agg(F.every("equal").alias("all_equal"))
+        log.append(status_of(going, agreed.where("all_equal"), STEPS["v"]))
+    status = stage(checks.all_of(*log), "status")
     if status_path:
         lookup.append_status(status, status_path)
     return status

@@ -103,7 +103,7 @@ def dry_run_rows(t: Testbed):
 )
 def validated_import(t: Testbed):
     root = scratch_path(t.spark, "tables")
-    ready = {e: df.cache() for e, df in cleaned(t).tables.items()}
+    ready = cleaned(t).tables
     import_clean(t.spark, ready, root)
     return validate_import(ready, tables.read_tables(t.spark, root))
 
@@ -116,7 +116,7 @@ def validated_import(t: Testbed):
 def second_import_refused(t: Testbed):
     """Importing the same studies again: every event id is taken."""
     root = scratch_path(t.spark, "tables")
-    ready = {e: df.cache() for e, df in cleaned(t).tables.items()}
+    ready = cleaned(t).tables
     import_clean(t.spark, ready, root)
     again = import_clean(t.spark, ready, root)
     events = again.violations.where(F.col("key").startswith("event/"))

@@ -64,11 +64,11 @@ def located_events(t: Testbed):
 
 @query(
     "C1-C9 D1 E3",
-    "select individual_id, count(*) as num from m_located where study_id = 7 group by individual_id",
+    "select individual_id, count(*) as num from m_located where study_id = 17 group by individual_id",
 )
 def located_events_per_individual(t: Testbed):
     """Locations per individual of one study, cleaned and deployed only."""
-    return located(t).where("study_id = 7").groupBy("individual_id").agg(F.count("*").alias("num"))
+    return located(t).where("study_id = 17").groupBy("individual_id").agg(F.count("*").alias("num"))
 
 
 @query("D2", "select deployment_id, individual_id, tag_id, study_id from m_kept_deployment")
@@ -220,28 +220,28 @@ def deployments_without_keys(t: Testbed):
     return relate.null_keyed_deployments(t.ship_deployment.withColumn("tag_id", tag)).select("deployment_id")
 
 
-@query("K6", "select sensor_id, tag_id from m_sensor s where tag_id in (select tag_id from m_deployment d join m_individual i on d.individual_id = i.individual_id where i.study_id = 7)")
+@query("K6", "select sensor_id, tag_id from m_sensor s where tag_id in (select tag_id from m_deployment d join m_individual i on d.individual_id = i.individual_id where i.study_id = 17)")
 def sensors_of_study(t: Testbed):
-    return extract_study(t.raw, 7)["sensor"].select("sensor_id", "tag_id")
+    return extract_study(t.raw, 17)["sensor"].select("sensor_id", "tag_id")
 
 
-@query("K6", "select event_id, e.individual_id from m_raw e where e.individual_id in (select individual_id from m_individual where study_id = 7)")
+@query("K6", "select event_id, e.individual_id from m_raw e where e.individual_id in (select individual_id from m_individual where study_id = 17)")
 def events_of_study(t: Testbed):
-    return extract_study(t.raw, 7)["event"].select("event_id", "individual_id")
+    return extract_study(t.raw, 17)["event"].select("event_id", "individual_id")
 
 
 @query(
     "K6",
-    "select 'study' as entity, count(*) as num from m_study where study_id = 7 union all "
-    "select 'individual', count(*) from m_individual where study_id = 7 union all "
-    "select 'deployment', count(*) from m_deployment where individual_id in (select individual_id from m_individual where study_id = 7) union all "
-    "select 'tag', count(*) from m_tag where tag_id in (select tag_id from m_deployment where individual_id in (select individual_id from m_individual where study_id = 7)) union all "
-    "select 'sensor', count(*) from m_sensor where tag_id in (select tag_id from m_deployment where individual_id in (select individual_id from m_individual where study_id = 7)) union all "
-    "select 'event', count(*) from m_raw where individual_id in (select individual_id from m_individual where study_id = 7)",
+    "select 'study' as entity, count(*) as num from m_study where study_id = 17 union all "
+    "select 'individual', count(*) from m_individual where study_id = 17 union all "
+    "select 'deployment', count(*) from m_deployment where individual_id in (select individual_id from m_individual where study_id = 17) union all "
+    "select 'tag', count(*) from m_tag where tag_id in (select tag_id from m_deployment where individual_id in (select individual_id from m_individual where study_id = 17)) union all "
+    "select 'sensor', count(*) from m_sensor where tag_id in (select tag_id from m_deployment where individual_id in (select individual_id from m_individual where study_id = 17)) union all "
+    "select 'event', count(*) from m_raw where individual_id in (select individual_id from m_individual where study_id = 17)",
 )
 def rows_of_study(t: Testbed):
     out = None
-    for entity, df in extract_study(t.raw, 7).items():
+    for entity, df in extract_study(t.raw, 17).items():
         part = df.agg(F.count("*").alias("num")).select(F.lit(entity).alias("entity"), "num")
         out = part if out is None else out.unionByName(part)
     return out

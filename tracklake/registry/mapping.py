@@ -253,6 +253,8 @@ RELATIONS.update(
 class Testbed:
     """Frames over one folder of driver tables."""
 
+    __test__ = False  # not a test case, whatever its name
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = configure(spark)
         self.folder = folder

@@ -57,18 +57,19 @@ def study_from_path() -> Column:
     return F.when(folder != "", folder).otherwise(partition).try_cast("bigint")
 
 
-def _paths(root: str, entity: str, layout: str, studies) -> list[str]:
-    wanted = ["*"] if studies is None else [str(s) for s in studies]
-    return [LAYOUTS[layout].format(root=root, study=s, entity=entity) for s in wanted]
+def _path(root: str, entity: str, layout: str, studies) -> str:
+    """A path pattern. A study without the file is simply not there."""
+    wanted = "*" if studies is None else "{" + ",".join(str(s) for s in studies) + "}"
+    return LAYOUTS[layout].format(root=root, study=wanted, entity=entity)
 
 
 def _read_text_columns(
-    spark: SparkSession, paths: list[str], names: list[str], multi_line: bool
+    spark: SparkSession, path: str, names: list[str], multi_line: bool
 ) -> DataFrame:
     """All columns as text. Headers are checked: a file with other columns is an error."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     return spark.read.csv(
-        paths,
+        path,
         schema=schema,
         header=True,
         enforceSchema=False,
@@ -99,7 +100,7 @@ def read_raw(
     """
     schema = raw_schema(entity, fields)
     multi_line = entity in MULTI_LINE
-    text = _read_text_columns(spark, _paths(root, entity, layout, studies), schema.names, multi_line)
+    text = _read_text_columns(spark, _path(root, entity, layout, studies), schema.names, multi_line)
     text = _study_column(text)
     columns = [typed(F.col(f.name), f.dataType).alias(f.name) for f in schema]
     extra = [F.col("_path_study")]
@@ -119,7 +120,8 @@ def read_raw_by_header(
     """
     schema = raw_schema(entity, fields)
     out = None
-    for path, study in zip(_paths(root, entity, layout, studies), studies, strict=True):
+    for study in studies:
+        path = _path(root, entity, layout, [study])
         text = spark.read.csv(
             path, header=True, nullValue="NA", multiLine=entity in MULTI_LINE, quote='"', escape='"'
         )
@@ -199,9 +201,9 @@ def read_clean_csv(spark: SparkSession, root: str, entity: str, studies=None) ->
     """Clean rows written by write_csv."""
     schema = table_schema(entity)
     inside = [f for f in schema if f.name != "study_id"]
-    paths = _paths(root, entity, "partitions", studies)
+    path = _path(root, entity, "partitions", studies)
     text = _study_column(
-        _read_text_columns(spark, paths, [f.name for f in inside], entity in MULTI_LINE)
+        _read_text_columns(spark, path, [f.name for f in inside], entity in MULTI_LINE)
     )
     by_name = {f.name: typed(F.col(f.name), f.dataType).alias(f.name) for f in inside}
     by_name["study_id"] = F.col("_path_study").alias("study_id")
