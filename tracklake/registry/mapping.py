@@ -250,6 +250,10 @@ RELATIONS.update(
 )
 
 
+# Schemas of the driver's files, so that each file's footer is read for it once.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 class Testbed:
     """Frames over one folder of driver tables."""
 
@@ -261,7 +265,10 @@ class Testbed:
 
     def table(self, name: str) -> DataFrame:
         """A driver table, times without zone taken as UTC."""
-        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        df = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
         for f in df.schema:
             if isinstance(f.dataType, T.TimestampNTZType):
                 df = df.withColumn(f.name, F.col(f.name).cast("timestamp"))
