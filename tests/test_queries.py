@@ -22,7 +22,7 @@ CHOICE = (
     "years_of_study", "compared_totals", "taken_keys", "untidy_documents", "raw_events",
     "tidy_documents", "time_parts", "cleaned_events",
 )
-NAMES = list(entry.queries()) if os.environ.get("TRACKLAKE_ALL_QUERIES") else CHOICE
+NAMES = list(entry.base.QUERIES) if os.environ.get("TRACKLAKE_ALL_QUERIES") else CHOICE
 # Checks that find nothing where all is well.
 EMPTY = {"located_events_outside_deployment", "deduplicated_is_clean"}
 
@@ -44,7 +44,7 @@ def test_query_matches_sql(spark, connection, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.base.QUERIES) == set(entry.base.oracles())
 
 
 # Nothing of the data to read: a dictionary, table definitions, types found in a file.
