@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklake.llm import line_dedup, mixing, quality_rules
+from tracklake.llm import language, line_dedup, mixing, quality_rules
 from tracklake.llm.tables import read
 
 QUERIES = {}
@@ -54,6 +54,11 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op2_language_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(read(spark, folder, "documents"))
+
+
 @query("""
 with recursive n as (select source, count(*) as n from documents group by source),
 t as (select sum(n) as rows, sum(sqrt(n::double)) as weight from n),
