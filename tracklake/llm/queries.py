@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklake.llm import language, line_dedup, mixing, quality_rules
+from tracklake.llm import language, line_dedup, mixing, quality_rules, topk
 from tracklake.llm.tables import read
 
 QUERIES = {}
@@ -97,3 +97,15 @@ from documents d left join s on d.doc_id = s.doc_id
 def op8_line_spread(spark: SparkSession, folder: str) -> DataFrame:
     lines = line_dedup.remove(read(spark, folder, "documents"))
     return lines.select("doc_id", "n_lines", "n_removed", F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+
+
+@query("""
+with v as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from embeddings
+           where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::bigint as score
+      from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
+from s qualify rank <= 20
+""")
+def op10_pivot_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top(read(spark, folder, "embeddings"), F.col("id") % 20 == 0)
