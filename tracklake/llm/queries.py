@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklake.llm import language, line_dedup, mixing, quality_rules, topk
+from tracklake.llm import language, line_dedup, mixing, quality_rules, topk, toxicity
 from tracklake.llm.tables import read
 
 QUERIES = {}
@@ -81,6 +81,11 @@ def op6_poisson_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "source", "n_copies", "copy", "shuffle_key")
 
 
+@query()
+def op7_string_kernel_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 @query("""
 with l as (select doc_id, source, generate_subscripts(ls, 1) as i, unnest(ls) as line
            from (select doc_id, source, string_split(text, chr(10)) as ls from documents)),
