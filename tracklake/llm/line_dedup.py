@@ -71,7 +71,8 @@ def remove(docs: DataFrame, text="text", site="source", min_sites: int = 10, min
     )
     bad = stage(bad, "lines-of-texts")
     hashed = own.select("row", "text", F.xxhash64("text").alias("hash"))
-    joined = hashed.join(bad, F.col("hash") == F.col("text_hash"), "left")
+    # Always by a shuffle: the lists grow with the documents, and so would a broadcast of them.
+    joined = hashed.join(bad.hint("merge"), F.col("hash") == F.col("text_hash"), "left")
     split = F.split("text", "\n")
     is_bad = lambda l: (F.length(F.trim(l)) >= min_chars) & F.array_contains("bad", F.xxhash64(l))
     tried = joined.select(
