@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklake.llm import language, line_dedup, mixing, quality_rules, topk, toxicity
+from tracklake.llm import language, line_dedup, mixing, quality_rules, token_files, topk, toxicity
 from tracklake.llm.tables import read
 
 QUERIES = {}
@@ -59,6 +59,20 @@ def op2_language_filters(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(read(spark, folder, "documents"))
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the vocabulary files lie; the same on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@query()
+def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = tokenizer_path("byte_bpe_50k.json")
+    blocks = token_files.write(read(spark, folder, "documents"), path, end_id=2)
+    return token_files.starts(token_files.documents(blocks, token_files.encoder(path).size))
+
+
 @query("""
 with recursive n as (select source, count(*) as n from documents group by source),
 t as (select sum(n) as rows, sum(sqrt(n::double)) as weight from n),
