@@ -92,3 +92,46 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     starts = np.flatnonzero(letter & (before | edge[:-1]))
     ends = np.flatnonzero(letter & (after | edge[1:])) + 1
     return starts, ends
+
+
+class Remembered:
+    """Ids of stretches of text, each distinct stretch solved once while it is remembered.
+
+    solve(data, starts, ends) gives the ids of all these stretches one after the other, and their
+    number for each. Stretches are told apart by 64-bit hashes; the table is emptied when it is full.
+    """
+
+    def __init__(self, solve, most: int):
+        self.solve, self.most, self.rolling = solve, most, Rolling(11)
+        self.clear()
+
+    def clear(self) -> None:
+        self.known = np.zeros(0, np.uint64)
+        self.at, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.uint32)
+
+    def look_up(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in the pool the ids of each stretch begin, and their number."""
+        if len(self.known) > self.most:
+            self.clear()
+        hashes = self.rolling.of(self.rolling.prefix(data), starts, ends)
+        distinct, where, back = np.unique(hashes, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.known, distinct)
+        new = np.ones(len(distinct), bool)
+        inside = place < len(self.known)
+        new[inside] = self.known[place[inside]] != distinct[inside]
+        if new.any():
+            ids, counts = self.solve(data, starts[where[new]], ends[where[new]])
+            known = np.concatenate([self.known, distinct[new]])
+            order = np.argsort(known, kind="stable")
+            self.at = np.concatenate([self.at, len(self.pool) + np.cumsum(counts) - counts])[order]
+            self.length = np.concatenate([self.length, counts])[order]
+            self.known, self.pool = known[order], np.concatenate([self.pool, ids.astype(np.uint32)])
+            place = np.searchsorted(self.known, distinct)
+        return self.at[place][back], self.length[place][back]
+
+
+def gather(pool: np.ndarray, at: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of pool one after the other, and where each begins and the last ends."""
+    done = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
+    return pool[np.arange(done[-1]) + np.repeat(at - done[:-1], length)], done
