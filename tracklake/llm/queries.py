@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklake.llm import language, line_dedup, mixing, pieces, quality_rules, token_files, topk, toxicity
+from tracklake.llm import language, line_dedup, mixing, near_duplicates, pieces, quality_rules, token_files, topk, toxicity
 from tracklake.llm.tables import read
 
 QUERIES = {}
@@ -78,6 +78,11 @@ def op4_piece_paths(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode(read(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+@query()
+def op5_weighted_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.classes(read(spark, folder, "documents"))
+
+
 @query("""
 with recursive n as (select source, count(*) as n from documents group by source),
 t as (select sum(n) as rows, sum(sqrt(n::double)) as weight from n),
