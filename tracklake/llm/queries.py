@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklake.llm import language, line_dedup, mixing, near_duplicates, pieces, quality_rules, token_files, topk, toxicity
+from tracklake.llm import language, line_dedup, mixing, near_duplicates, pieces, quality_rules, repeats, token_files, topk, toxicity
 from tracklake.llm.tables import read
 
 QUERIES = {}
@@ -128,6 +128,12 @@ def op8_line_spread(spark: SparkSession, folder: str) -> DataFrame:
     return lines.select("doc_id", "n_lines", "n_removed", F.md5(F.col("text").cast("binary")).alias("kept_md5"))
 
 
+@query()
+def op9_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    rest = repeats.without_repeats(read(spark, folder, "documents"))
+    return rest.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query("""
 with v as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from embeddings
            where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
