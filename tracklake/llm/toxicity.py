@@ -3,8 +3,8 @@
 The kernel compares two strings by their common subsequences of four letters. An occurrence that
 spans s letters weighs DECAY ** (s - 4), and spans reach up to six: insults with gaps, and with up
 to two inserted letters in any four, still match. Anything that is no letter is passed over, so
-"i-d i.o t" is read as "idiot". Sentences are cut at a space after every 40 letters. The landmarks are words of the training sentences, those that mark
-toxic documents best and others for contrast; a sentence is mapped to its kernel values with them, times
+"i-d i.o t" is read as "idiot". Sentences are cut at a space after every 40 letters. The landmarks are words of the training sentences and beginnings of
+words, those that mark toxic documents best and others for contrast; a sentence is mapped to its kernel values with them, times
 the inverse square root of the landmarks' own kernel matrix, and a linear machine with squared
 hinge loss is trained on that.
 
@@ -17,7 +17,7 @@ As the kernel is a sum over subsequences, so is the machine: one weight per subs
 of fixed size. Scoring adds up table entries, over all sentences of all whole texts.
 
 The model is fitted on at most `sample` labelled documents per class, the ones with the least hash of
-id; landmarks, weights and curve are bounded by parameters.
+id, and on CLEAN_SENTENCES sentences of the clean ones; landmarks, weights and curve are bounded by parameters.
 
 Defined results: a null or empty text scores as a sentence without letters. Labels that are null are
 left out; a document with several labels takes the largest. Without rows of both classes every
@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 from tracklake.llm.batches import slices
 from tracklake.llm.tables import fold
 
-SAMPLE = 2000
+SAMPLE = 1000
+# Sentences of clean documents that are fitted to, at most; evenly spread over the sampled documents.
+CLEAN_SENTENCES = 30_000
 MARKING, CONTRAST = 96, 32
 # Sentences whose values the curve sees, the worst ones first.
 WORST = 3
@@ -123,9 +125,8 @@ class Machine:
     def __init__(self, table, bias: float, curve: np.ndarray):
         self.table, self.bias, self.curve = table, bias, curve
 
-    def documents(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        if self.table is None:
-            return np.full(len(offsets) - 1, self.curve[-1])
+    def values(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The worst sentences' values of each document."""
         code, at = letters(data, offsets)
         total = np.zeros(len(code), np.float32)
         for numbers, weight in occurrences(code):
@@ -134,7 +135,12 @@ class Machine:
         sums = np.add.reduceat(total, starts).astype(float) if len(starts) else np.zeros(0)
         # A document ends with breaks, so a sentence never reaches into the next document.
         owner = np.searchsorted(at, starts, "right") - 1
-        return chance(worst(sums, owner, len(offsets) - 1) + self.bias, self.curve)
+        return worst(sums, owner, len(offsets) - 1) + self.bias
+
+    def documents(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        if self.table is None:
+            return np.full(len(offsets) - 1, self.curve[-1])
+        return chance(self.values(data, offsets), self.curve)
 
 
 def worst(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
@@ -153,33 +159,44 @@ def chance(values: np.ndarray, curve: np.ndarray) -> np.ndarray:
 
 
 def landmarks(texts: list[str], toxic: np.ndarray) -> list[str]:
-    """Words that mark toxic documents, by a smoothed log-odds in standard errors, and others."""
+    """Words and beginnings of words that mark toxic documents, by likelihood ratio, and common others."""
     seen: dict[str, list[int]] = {}
     for text, y in zip(texts, toxic):
-        for word in {"".join(c for c in w if c.isalpha()) for w in text.lower().split()}:
-            if 4 <= len(word) <= 24:
-                seen.setdefault(word, [0, 0])[int(y)] += 1
+        words = {"".join(c for c in w if c.isalpha()) for w in text.lower().split()}
+        for part in {w[:n] for w in words for n in (4, 5, 6, 24) if len(w) >= 4}:
+            seen.setdefault(part, [0, 0])[int(y)] += 1
     totals = max(int((~toxic).sum()), 1), max(int(toxic.sum()), 1)
 
-    def marks(word: str) -> float:
-        n, t = seen[word]
-        odds = np.log((t + 0.5) / (totals[1] - t + 0.5)) - np.log((n + 0.5) / (totals[0] - n + 0.5))
-        return odds / np.sqrt(1 / (t + 0.5) + 1 / (n + 0.5))
+    def marks(part: str) -> float:
+        """Signed likelihood ratio of the part's share in toxic and in clean documents."""
+        n, t = seen[part]
+        ratio = 0.0
+        for got, of in ((n, totals[0]), (t, totals[1])):
+            share = (n + t) / sum(totals)
+            for count, expected in ((got, of * share), (of - got, of * (1 - share))):
+                ratio += count * np.log(count / expected) if count else 0.0
+        return ratio if t / totals[1] > n / totals[0] else -ratio
 
     order = sorted((w for w in seen if sum(seen[w]) >= 3), key=lambda w: (-marks(w), w))
-    common = sorted(order[MARKING:], key=lambda w: (-sum(seen[w]), w))
-    return order[:MARKING] + common[:CONTRAST]
+    chosen: list[str] = []
+    for part in order:
+        if len(chosen) == MARKING:
+            break
+        if not any(part.startswith(c) or c.startswith(part) for c in chosen):
+            chosen.append(part)
+    common = sorted(set(order) - set(chosen), key=lambda w: (-sum(seen[w]), w))
+    return chosen + common[:CONTRAST]
 
 
 def hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Minimises ridge and squared hinge loss by Newton steps; the last coefficient is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     ridge = RIDGE * np.eye(x.shape[1])
     ridge[-1, -1] = 1e-6
     w = np.zeros(x.shape[1])
     for _ in range(30):
         inside = y * (x @ w) < 1
-        xs, ws = x[inside], weight[inside][:, None]
+        xs, ws = x[inside].astype(float), weight[inside][:, None]
         new = np.linalg.solve(ridge + xs.T @ (xs * ws), xs.T @ (ws[:, 0] * y[inside]))
         if np.allclose(new, w, atol=1e-8):
             break
@@ -217,44 +234,54 @@ def fit(texts: list[str], toxic: np.ndarray, share: float) -> Machine:
     values, vectors = np.linalg.eigh((phi.T @ phi).astype(float))
     root = vectors @ np.diag(np.where(values > 1e-6, 1 / np.sqrt(np.maximum(values, 1e-6)), 0)) @ vectors.T
 
+    wanted = max(1, sum(len(t) for t, y in zip(texts, toxic) if not y) // PIECE // CLEAN_SENTENCES)
     x, owner = [], []
-    for i in range(0, len(texts), 50):
-        encoded = [t.encode() for t in texts[i : i + 50]]
-        offsets = np.concatenate([[0], np.cumsum([len(e) for e in encoded])])
-        code, at = letters(np.frombuffer(b"".join(encoded), np.uint8), offsets)
+    for first, data, offsets in in_groups(texts):
+        code, at = letters(data, offsets)
         starts = sentence_starts(code)
         sentence = np.searchsorted(starts, np.arange(len(code)), "right") - 1
-        kernel = np.zeros((len(starts), len(words)))
-        for numbers, weight in occurrences(code):
-            where = place[numbers]
+        kernel = np.zeros((len(starts), len(words)), np.float32)
+        for subsequence, weight in occurrences(code):
+            where = place[subsequence]
             hit = np.flatnonzero(where >= 0)
             if len(hit):
                 s = sentence[hit]
-                first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-                kernel[s[first]] += weight * np.add.reduceat(phi[where[hit]], first)
-        x.append(kernel @ root)
-        owner.append(i + np.searchsorted(at, starts, "right") - 1)
+                begin = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+                kernel[s[begin]] += np.float32(weight) * np.add.reduceat(phi[where[hit]], begin)
+        of = first + np.searchsorted(at, starts, "right") - 1
+        keep = toxic[of] | (np.arange(len(of)) % wanted == 0)
+        x.append(kernel[keep])
+        owner.append(of[keep])
     x, owner = np.concatenate(x), np.concatenate(owner)
     bad = toxic[owner]
     # To begin with, the sentence nearest to the marking landmarks.
-    suspicion = (x @ np.linalg.pinv(root))[:, :MARKING].max(1)
+    suspicion = x[:, :MARKING].max(1)
+    x = x @ root.astype(np.float32)
     clean = np.flatnonzero(~bad)
     for _ in range(4):
         order = np.lexsort((-suspicion, owner))
-        firsts = order[np.concatenate([[True], owner[order][1:] != owner[order][:-1]])] if len(order) else order
+        firsts = order[np.concatenate([[True], owner[order][1:] != owner[order][:-1]])]
         chosen = firsts[bad[firsts]]
         rows = np.concatenate([chosen, clean])
         y = np.concatenate([np.ones(len(chosen)), -np.ones(len(clean))])
         weight = np.where(y > 0, 1.0 / max(len(chosen), 1), 1.0 / max(len(clean), 1)) * 2000
         w = hinge(x[rows], y, weight)
-        suspicion = x @ w[:-1] + w[-1]
-    values = worst(x @ w[:-1], owner, len(texts)) + w[-1]
-    rates = np.where(toxic, share / toxic.mean(), (1 - share) / (1 - toxic.mean()))
-    curve = logistic(values, toxic.astype(float), rates)
+        suspicion = x @ w[:-1].astype(np.float32) + w[-1]
     table = np.zeros(LETTERS**4, np.float32)
-    table[np.array(sorted({i for m in maps for i in m}))] = phi @ (root @ w[:-1]).astype(np.float32)
+    table[numbers] = phi @ (root @ w[:-1]).astype(np.float32)
     table[has_break()] = 0
-    return Machine(table, float(w[-1]), curve)
+    machine = Machine(table, float(w[-1]), np.zeros(WORST + 1))
+    values = np.concatenate([machine.values(data, offsets) for _, data, offsets in in_groups(texts)])
+    rates = np.where(toxic, share / toxic.mean(), (1 - share) / (1 - toxic.mean()))
+    machine.curve = logistic(values, toxic.astype(float), rates)
+    return machine
+
+
+def in_groups(texts: list[str], n: int = 50):
+    """(index of the first, bytes, offsets) of n texts at a time."""
+    for first in range(0, len(texts), n):
+        encoded = [t.encode() for t in texts[first : first + n]]
+        yield first, np.frombuffer(b"".join(encoded), np.uint8), np.concatenate([[0], np.cumsum([len(e) for e in encoded])])
 
 
 def learn(docs: DataFrame, labels: DataFrame, doc_id="doc_id", text="text", toxic="toxic", sample: int = SAMPLE) -> Machine:
