@@ -1,20 +1,20 @@
 """Removes every byte covered by a string of `least` bytes that also starts anywhere else.
 
 A suffix order by difference covers, over phrases instead of bytes. Phrases begin at anchors: the least
-of any WINDOW neighbouring GRAM-byte hashes. Anchors depend on the text around them alone, so equal
-strings of `least` bytes have the same anchors, from the one of their first window to the one of their last;
-between these they are the same sequence of whole phrases, their core.
+of any WINDOW neighbouring GRAM-byte hashes. Anchors depend on the text around them alone, so two
+equal strings of `least` bytes have the same anchor in their first window, at the same place.
 
-1. Each anchor's shortest core is counted; only anchors whose core stands twice can matter.
-2. The strings of phrases around these are put in suffix order (see suffix_order), and adjacent
-   suffixes are compared: the neighbours share the longest core, so it is known for every anchor, and
-   with it which starts may repeat.
-3. The starts of an anchor, with the bytes their strings cover, form one stretch. Equal stretches repeat
-   from end to end. Where stretches with the same core differ, one of each kind is spelled out, and the
-   strings of `least` bytes at each of its starts are compared by 128-bit hashes.
+1. Whatever its first window shows, a string with anchor A holds the least - WINDOW + 1 bytes from A on,
+   its context. Contexts are counted; only anchors whose context stands twice can matter.
+2. The starts of an anchor, with the bytes their strings cover, form one stretch. Equal stretches repeat
+   from end to end, so of any number of copies one stays to be looked at, and only if other stretches
+   have the same context.
+3. The phrases from these anchors on are put in suffix order (see suffix_order), and adjacent suffixes
+   are compared: neighbours share the most phrases. That gives the last start that may repeat.
+4. The strings at these starts are spelled out, and compared by 128-bit hashes.
 
-So rows are spelled out around the ends of repeats only, once for any number of copies. Texts are kept in a table
-bucketed by row, which the three passes join without moving it.
+So rows are spelled out around the ends of repeats only. Texts are kept in a table bucketed by row,
+which the four passes join without moving it.
 
 Defined results: texts count as UTF-8 bytes, a null text is empty; texts shorter than `least` lose
 nothing, and no match crosses documents. Rows are told apart even if ids repeat or are null: a document
@@ -34,7 +34,7 @@ from tracklake.llm.suffix_order import ranks, running
 from tracklake.session import scratch_path, stage
 
 LEAST = 400
-WINDOW, GRAM = 128, 16
+WINDOW, GRAM = 160, 16
 POSITION_BITS = np.uint64(24)
 SLICE = 2 << 20
 
@@ -85,63 +85,87 @@ def positive(x: np.ndarray) -> np.ndarray:
     return (x >> np.uint64(1)).astype(np.int64)
 
 
-def ends_of_cores(a: Anchors) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each anchor: the anchors that end its shortest and longest core, and those with starts."""
+def ends_of_cores(a: Anchors) -> tuple[np.ndarray, np.ndarray]:
+    """For each anchor: the anchors that end its shortest and its longest core."""
     short, long = reach(a.least)
     limit = np.searchsorted(a.doc, a.doc, "right") - 1  # last anchor of the document
     low = np.minimum(np.searchsorted(a.at, a.at + short, "right") - 1, limit)
     high = np.minimum(np.searchsorted(a.at, a.at + long, "right") - 1, limit)
-    has = np.zeros(len(a.at), bool)
-    has[a.of_start] = True
-    return low, high, has
+    return low, high
 
 
-def core_rows(texts: DataFrame, least: int) -> DataFrame:
-    """(core, rid, i) of every anchor with starts; i counts the anchors of a row."""
+def context(hashes: Hashes, a: Anchors, which: np.ndarray) -> np.ndarray:
+    """Hashes of the bytes that any string with such an anchor holds from the anchor on."""
+    return positive(hashes.first.of(a.prefix, a.at[which], a.at[which] + a.least - WINDOW + 1))
+
+
+def context_rows(texts: DataFrame, least: int) -> DataFrame:
+    """(context, rid, i) of every anchor with starts; i counts the anchors of a row."""
+
+    def run(batches):
+        hashes = Hashes()
+        for rows, data, offsets in slices(batches, 1, SLICE):
+            a = Anchors(hashes, data, offsets, least)
+            if len(a.at):
+                has = np.unique(a.of_start)
+                i = has - np.searchsorted(a.doc, a.doc[has], "left")
+                rid = rows.column(0).to_numpy()[a.doc[has]]
+                columns = [pa.array(context(hashes, a, has)), pa.array(rid), pa.array(i.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names=["context", "rid", "i"])
+
+    return texts.mapInArrow(run, "context long, rid long, i int")
+
+
+def chosen_of(column, a: Anchors, begin: np.ndarray) -> np.ndarray:
+    """Numbers within the slice of the anchors that a list column names by their place in the row."""
+    lists = column.values.to_numpy()[column.offsets[0].as_py() : column.offsets[-1].as_py()]
+    return np.sort(lists + np.repeat(begin[:-1], np.diff(column.offsets.to_numpy())))
+
+
+def stretch_rows(texts: DataFrame, chosen: DataFrame, least: int) -> DataFrame:
+    """(rid, i, low, high, context, u1, u2) of chosen anchors: first and last start, and the stretch's hash."""
+    schema = "rid long, i int, low int, high int, context long, u1 long, u2 long"
 
     def run(batches):
         hashes = Hashes()
         for rows, data, offsets in slices(batches, 1, SLICE):
             a = Anchors(hashes, data, offsets, least)
-            if not len(a.at):
-                continue
-            low, _, has = ends_of_cores(a)
-            core = positive(hashes.first.of(a.prefix, a.at, a.at[low]))
-            i = np.arange(len(a.at)) - np.searchsorted(a.doc, a.doc, "left")
-            rid = rows.column(0).to_numpy()[a.doc]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(core[has]), pa.array(rid[has]), pa.array(i[has].astype(np.int32))], names=["core", "rid", "i"]
-            )
+            begin = np.searchsorted(a.doc, np.arange(len(offsets)), "left")
+            picked = chosen_of(rows.column(2), a, begin)
+            second = hashes.second.prefix(data)
+            low = a.starts[np.searchsorted(a.of_start, picked, "left")]
+            high = a.starts[np.searchsorted(a.of_start, picked, "right") - 1]
+            u1 = hashes.first.of(a.prefix, low, high + least) + (a.at[picked] - low).astype(np.uint64)
+            u2 = hashes.second.of(second, low, high + least)
+            doc = a.doc[picked]
+            here = offsets[doc]
+            i32 = lambda x: pa.array(x.astype(np.int32))
+            columns = [
+                pa.array(rows.column(0).to_numpy()[doc]), i32(picked - begin[doc]), i32(low - here), i32(high - here),
+                pa.array(context(hashes, a, picked)), pa.array(u1.view(np.int64)), pa.array(u2.view(np.int64)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in schema.split(", ")])
 
-    return texts.mapInArrow(run, "core long, rid long, i int")
+    return texts.join(chosen, "rid").select("rid", "text", "wanted").mapInArrow(run, schema)
 
 
-ROW = (
-    "rid long, i int, run int, sym long, len long, candidate boolean, at int, low int, high int, "
-    "cores array<long>, nexts array<int>, u1 long, u2 long"
-)
+ROW = "rid long, i int, run int, sym long, len long, candidate boolean, cores array<long>, nexts array<int>"
 
 
 def phrase_rows(texts: DataFrame, chosen: DataFrame, least: int) -> DataFrame:
     """A row for each chosen anchor, and for those that its cores reach.
 
-    cores: hashes of its cores, the shortest first; nexts: the anchors at which the second and later
-    ones end; at, low, high: of the anchor, its first and its last start; u1, u2: its stretch.
+    A core is a sequence of whole phrases from the anchor on that a string may hold. cores: their
+    hashes, the shortest first; nexts: the anchors at which the second and later ones end.
     """
 
     def run(batches):
         hashes = Hashes()
         for rows, data, offsets in slices(batches, 1, SLICE):
             a = Anchors(hashes, data, offsets, least)
-            if not len(a.at):
-                continue
-            low, high, _ = ends_of_cores(a)
-            second = hashes.second.prefix(data)
+            low, high = ends_of_cores(a)
             begin = np.searchsorted(a.doc, np.arange(len(offsets)), "left")
-            wanted = rows.column(2)
-            lists = wanted.values.to_numpy()[wanted.offsets[0].as_py() : wanted.offsets[-1].as_py()]
-            sizes = np.diff(wanted.offsets.to_numpy())
-            picked = np.sort(lists + np.repeat(begin[:-1], sizes))
+            picked = chosen_of(rows.column(2), a, begin)
             is_candidate = np.zeros(len(a.at), bool)
             is_candidate[picked] = True
             # Anchors between a candidate and the end of its longest core.
@@ -157,37 +181,23 @@ def phrase_rows(texts: DataFrame, chosen: DataFrame, least: int) -> DataFrame:
             last = (used + 1 >= len(a.at)) | (a.doc[after] != doc)
             end = np.where(last, offsets[doc + 1], a.at[after])
             sym = positive(hashes.first.of(a.prefix, a.at[used], end))
-            first_start = np.searchsorted(a.of_start, used, "left")
-            last_start = np.searchsorted(a.of_start, used, "right") - 1
             candidate = is_candidate[used]
-            lo = np.where(candidate, a.starts[np.minimum(first_start, len(a.starts) - 1)], 0)
-            hi = np.where(candidate, a.starts[np.maximum(last_start, 0)], 0)
-            top = np.where(candidate, hi + least, 0)
-            u1 = hashes.first.of(a.prefix, lo, top) + (a.at[used] - lo).astype(np.uint64)
-            u2 = hashes.second.of(second, lo, top)
             n_cores = np.where(candidate, high[used] - low[used] + 1, 0)
             at_core = np.concatenate([[0], np.cumsum(n_cores)])
             step = np.arange(at_core[-1]) - np.repeat(at_core[:-1], n_cores)
             core_end = np.repeat(low[used], n_cores) + step
             cores = positive(hashes.first.of(a.prefix, np.repeat(a.at[used], n_cores), a.at[core_end]))
             base = np.repeat(offsets[doc], n_cores)
-            later = step > 0
             at_next = np.concatenate([[0], np.cumsum(np.maximum(n_cores - 1, 0))])
-            here = offsets[doc]
             i32 = lambda x: pa.array(x.astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(rows.column(0).to_numpy()[doc]), i32(used - begin[doc]), i32(run), pa.array(sym), pa.array(end - a.at[used]),
-                    pa.array(candidate), i32(a.at[used] - here), i32(np.where(candidate, lo - here, 0)), i32(np.where(candidate, hi - here, -1)),
-                    pa.ListArray.from_arrays(at_core.astype(np.int32), pa.array(cores)),
-                    pa.ListArray.from_arrays(at_next.astype(np.int32), i32((a.at[core_end] - base)[later])),
-                    pa.array(u1.view(np.int64)), pa.array(u2.view(np.int64)),
-                ],
-                names=[x.split()[0] for x in ROW.split(", ")],
-            )
+            columns = [
+                pa.array(rows.column(0).to_numpy()[doc]), i32(used - begin[doc]), i32(run), pa.array(sym), pa.array(end - a.at[used]), pa.array(candidate),
+                pa.ListArray.from_arrays(at_core.astype(np.int32), pa.array(cores)),
+                pa.ListArray.from_arrays(at_next.astype(np.int32), i32((a.at[core_end] - base)[step > 0])),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in ROW.split(", ")])
 
-    joined = texts.join(chosen, "rid").select("rid", "text", "wanted")
-    return joined.mapInArrow(run, ROW)
+    return texts.join(chosen, "rid").select("rid", "text", "wanted").mapInArrow(run, ROW)
 
 
 def shared_cores(phrases: DataFrame, least: int) -> DataFrame:
@@ -248,24 +258,25 @@ def spelled(texts: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
 
 def repeated_starts(texts: DataFrame, least: int) -> DataFrame:
     """(rid, low, high): ranges of starts whose string of `least` bytes stands elsewhere too."""
-    cores = stage(core_rows(texts.select("rid", "text"), least), "cores")
-    twice = cores.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core")
-    chosen = cores.join(twice, "core").groupBy("rid").agg(F.collect_list("i").alias("wanted"))
-    phrases = stage(phrase_rows(texts, chosen, least), "phrases")
-    shared = shared_cores(phrases, least)
-    own = phrases.where("candidate").select("rid", "i", "low", "high", "nexts", "u1", "u2", F.get("cores", F.lit(0)).alias("core"))
-    # The next core that is not shared ends at an anchor that the string of a start must not hold.
-    stop = F.when(F.col("shared") <= F.size("nexts"), F.get("nexts", F.col("shared") - 1) - reach(least)[1] - 1).otherwise(F.col("high"))
-    kept = own.join(shared.where("shared > 0"), ["rid", "i"]).withColumn("top", F.least("high", stop)).where("top >= low")
-    kept = stage(kept.select("rid", "i", "low", "high", "top", "core", "u1", "u2"), "stretches")
-    kinds = kept.groupBy("core", "u1", "u2").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "i", "low", "high", "top")).alias("one")
+    contexts = stage(context_rows(texts.select("rid", "text"), least), "contexts")
+    twice = contexts.groupBy("context").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("context")
+    chosen = contexts.join(twice, "context").groupBy("rid").agg(F.collect_list("i").alias("wanted"))
+    stretches = stage(stretch_rows(texts, chosen, least), "stretches")
+    kinds = stretches.groupBy("context", "u1", "u2").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "i", "low", "high")).alias("one")
     )
     kinds = stage(kinds, "stretch-kinds")
-    mixed = kinds.groupBy("core").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("core")
-    again = kinds.where("n > 1").select("core", "u1", "u2")
-    whole = kept.join(again, ["core", "u1", "u2"]).select("rid", "low", "high")
-    ranges = kinds.join(mixed, "core").select("one.rid", F.struct("one.low", "one.top").alias("range"))
+    again = kinds.where("n > 1").select("context", "u1", "u2")
+    whole = stretches.join(again, ["context", "u1", "u2"]).select("rid", "low", "high")
+    mixed = kinds.groupBy("context").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("context")
+    single = stage(kinds.join(mixed, "context").select("one.*"), "mixed-stretches")
+    phrases = stage(phrase_rows(texts, single.groupBy("rid").agg(F.collect_list("i").alias("wanted")), least), "phrases")
+    known = phrases.where("candidate").select("rid", "i", "nexts").join(shared_cores(phrases, least), ["rid", "i"])
+    # The next core that is not shared ends at an anchor that the string of a start must not hold.
+    stop = F.when(F.col("shared") <= F.size("nexts"), F.get("nexts", F.col("shared") - 1) - reach(least)[1] - 1)
+    tops = known.where("shared > 0").select("rid", "i", stop.alias("stop"))
+    ranges = single.join(tops, ["rid", "i"]).withColumn("top", F.least("high", "stop")).where("top >= low")
+    ranges = ranges.select("rid", F.struct("low", "top").alias("range"))
     rows = stage(spelled(texts, ranges.groupBy("rid").agg(F.collect_list("range").alias("ranges")), least), "spelled")
     found = rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2")
     single = rows.join(found, ["h1", "h2"]).select("rid", F.col("start").alias("low"), F.col("start").alias("high"))
