@@ -58,10 +58,11 @@ def boilerplate(docs: DataFrame, min_sites: int, min_chars: int) -> tuple[DataFr
     return stage(sure.union(exact.select("line")), "boilerplate"), hits
 
 
-def remove(docs: DataFrame, text="text", site="source", min_sites: int = 10, min_chars: int = 20) -> DataFrame:
-    """docs with its text column reduced, and n_lines, n_removed (long).
+def remove(docs: DataFrame, text="text", site="source", min_sites: int = 10, min_chars: int = 20,
+           counts: bool = True) -> DataFrame:
+    """docs with its text column reduced and, with counts, n_lines and n_removed (long).
 
-    Columns of docs that have these two names are replaced.
+    Columns of docs that have these two names are then replaced.
     """
     own = docs.select(F.struct("*").alias("row"), docs[text].alias("text"), docs[site].cast("string").alias("site"))
     lines, hits = boilerplate(own, min_sites, min_chars)
@@ -82,12 +83,13 @@ def remove(docs: DataFrame, text="text", site="source", min_sites: int = 10, min
     shorter = F.concat_ws("\n", "rest")
     chars = lambda array: F.aggregate(array, F.lit(0), lambda n, l: n + F.length(F.trim(l)))
     applies = F.coalesce(F.col("rest").isNotNull() & (2 * chars("rest") >= chars("lines")), F.lit(False))
-    added = ("n_lines", "n_removed")
-    kept = [F.col("row")[c].alias(c) for c in docs.columns if c != text and c not in added]
-    done = tried.withColumn("applies", applies).select(
-        *kept,
-        F.when(F.col("applies"), shorter).otherwise(F.col("text")).alias(text),
-        F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
-        F.when(F.col("applies"), F.size("lines") - F.size("rest")).otherwise(0).cast("long").alias("n_removed"),
-    )
-    return done.select(*[c for c in docs.columns if c not in added], *added)
+    added = ("n_lines", "n_removed") if counts else ()
+    made = {
+        text: F.when(F.col("applies"), shorter).otherwise(F.col("text")),
+        "n_lines": F.coalesce(F.size("lines"), F.lit(0)).cast("long"),
+        "n_removed": F.when(F.col("applies"), F.size("lines") - F.size("rest")).otherwise(0).cast("long"),
+    }
+    names = [*(c for c in docs.columns if c not in added), *added]
+    own = {text, *added}
+    done = tried.withColumn("applies", applies)
+    return done.select(*(made[c].alias(c) if c in own else F.col("row")[c].alias(c) for c in names))

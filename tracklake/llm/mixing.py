@@ -80,9 +80,11 @@ def copies(docs: DataFrame, doc_id="doc_id", source="source", weights: dict | No
 
 
 def mix(docs: DataFrame, doc_id="doc_id", source="source", weights: dict | None = None,
-        copies_per_row: float = 1.0, seed: int = 7) -> DataFrame:
-    """Every row as often as its count says, with n_copies, copy (from 1) and shuffle_key, in
-    shuffled order. Columns of docs that have these names are replaced.
+        copies_per_row: float = 1.0, seed: int = 7, counts: bool = True) -> DataFrame:
+    """Every row as often as its count says, in shuffled order.
+
+    With counts also n_copies, copy (from 1) and shuffle_key; columns of docs with these names are
+    then replaced.
 
     Rows are spread by the key and sorted by it within partitions. The rows of a hot source and
     the copies of one document have keys of their own, so no partition is larger than the others.
@@ -91,6 +93,6 @@ def mix(docs: DataFrame, doc_id="doc_id", source="source", weights: dict | None
     copied = counted.select("*", F.explode(F.sequence(F.lit(1), F.col("n_copies"))).alias("copy"))
     key = bits(F.lit(f"{seed}/order"), F.col("id"), F.col("copy"))
     shuffled = copied.withColumn("shuffle_key", key).repartition(F.col("shuffle_key"))
-    added = ("n_copies", "copy", "shuffle_key")
+    added = ("n_copies", "copy", "shuffle_key") if counts else ()
     columns = [F.col("row")[c].alias(c) for c in docs.columns if c not in added]
     return shuffled.sortWithinPartitions("shuffle_key").select(*columns, *added)

@@ -18,8 +18,8 @@ classes are the components of all links between candidates, without a comparison
 
 Defined results: texts without words, null or empty, are copies of each other. A text of fewer than five
 words is one shingle. Rows with a null id get the class of equal texts, and null if all ids of these are null;
-they are not compared otherwise. Rows that repeat an id get classes by their own texts, and the classes of
-one id are linked. An empty table gives an empty result.
+they are not compared otherwise. Rows that repeat an id get classes by their own texts; where the least id
+of a class repeats, one of its texts is compared. An empty table gives an empty result.
 """
 
 import numpy as np
@@ -278,6 +278,6 @@ def keep_one(docs: DataFrame, doc_id="doc_id", text="text", least: float = SIMIL
 
     Of rows that repeat that id, all stay.
     """
-    kept = classes(docs, doc_id, text, least).where("doc_id = class_id").select(F.col("doc_id").alias("_kept")).distinct()
-    stays = docs.join(kept, docs[doc_id] == F.col("_kept"), "left_semi")
+    kept = classes(docs, doc_id, text, least).where("doc_id = class_id").select("class_id").distinct()
+    stays = docs.join(kept, docs[doc_id] == kept["class_id"], "left_semi")
     return stays.union(docs.where(docs[doc_id].isNull()))
