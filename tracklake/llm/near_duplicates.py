@@ -1,20 +1,23 @@
 """Near-duplicate classes by improved consistent weighted sampling over TF-IDF shingles.
 
-A document is the weighted set of its five-word shingles, weight (1 + DAMP ln tf)(1 + DAMP ln(N/df)).
-Both parts are damped: with plain weights the shingles of a large group of near copies would count
-for little beside each copy's own changes, and a repeated line would outweigh a text. Document
-frequencies are counted over all documents, in 2**20 buckets of shingle hashes, a table of fixed size.
+A document is the weighted set of its five-word shingles. Samples are drawn with the weights
+(1 + DAMP ln tf) ln(1 + N/df), so that passages in many documents seldom become samples. Similarity is
+weighted Jaccard with (1 + DAMP ln tf)(1 + DAMP ln(N/df)): with the plain weights, the shingles of a
+large group of near copies would count for little beside each copy's own changes, and a repeated line
+would outweigh a text. Document frequencies are counted over all documents, in 2**20 buckets of shingle
+hashes, a table of fixed size.
 
 Improved consistent weighted sampling gives ROWS x BANDS samples per document; two documents agree in
 a sample with the probability of their weighted Jaccard similarity. Equal bands make candidates. At a
 similarity of 0.8, all bands of a pair differ once in 25,000 pairs, above that less often.
 
 Documents with the same sequence of words are one class from the start, and one of them stands for it.
-Within a bucket of candidates no pairs are listed: all members are compared with the least one, those
-that are not linked to it with the least of them, and so on, until none is left. One minus the similarity
-is a metric, so a member y that is not linked to a pivot p can only be linked to a member x that is
-if d(y,p) <= d(x,p) + 0.2; such pairs are compared where x and y are in different classes. So the
-classes are the components of all links between candidates, without a comparison of all pairs.
+Within a bucket of candidates pairs are not listed. All members are compared with the least one, and those
+not linked to it with the least of them. What is then left of a bucket, documents that share little, is
+compared in blocks of samples: only pairs that agree in LEAST_AGREED samples go on to the similarity. One
+minus the similarity is a metric, so a member y that is not linked to a pivot p can only be linked to a
+member x that is if d(y,p) <= d(x,p) + 0.2; such pairs are compared where x and y are in different classes.
+So the classes are the components of all links between candidates, without a list of all pairs.
 
 Defined results: texts without words, null or empty, are copies of each other. A text of fewer than five
 words is one shingle. Rows with a null id get the class of equal texts, and null if all ids of these are null;
@@ -38,6 +41,11 @@ DAMP = 0.05
 BUCKET_BITS, BLOCK_BITS = 20, 14
 RANDOM_BITS = 14
 ODD = np.uint64(0x9E3779B97F4A7C15)
+PIVOTS = 2
+BLOCK = 512
+# Of 42 samples; a pair with similarity 0.8 agrees in 34, and in fewer than 12 practically never, also
+# where a group of a third of all documents makes the sampled weights of common shingles small.
+LEAST_AGREED = 12
 # Members first tried for each borderline document; the rest follow if it is still apart.
 FIRST_TRIED = 8
 
@@ -90,7 +98,7 @@ def sum_blocks(batches):
 
 
 def document_frequencies(docs: DataFrame) -> np.ndarray:
-    """Factor 1 + DAMP ln(N/df) of each bucket."""
+    """N/df of each bucket."""
     n = docs.count()
     counted = docs.select("text").mapInArrow(count_buckets, "block int, counts binary")
     # A fixed number of rows of fixed size.
@@ -98,14 +106,14 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
     df = np.zeros(1 << BUCKET_BITS)
     for r in rows:
         df[r["block"] << BLOCK_BITS : (r["block"] + 1) << BLOCK_BITS] = np.frombuffer(r["counts"], np.int64)
-    return (1 + DAMP * np.log(max(n, 1) / np.clip(df, 1, max(n, 1)))).astype(np.float32)
+    return max(n, 1) / np.clip(df, 1, max(n, 1))
 
 
 class Sampler:
     """Weighted sets of documents and their samples."""
 
-    def __init__(self, factor: np.ndarray):
-        self.factor = factor
+    def __init__(self, rarity: np.ndarray):
+        self.sampled, self.compared = np.log1p(rarity).astype(np.float32), (1 + DAMP * np.log(rarity)).astype(np.float32)
         rng = np.random.default_rng(29)
         shape = (ROWS * BANDS, 1 << RANDOM_BITS)
         self.r = rng.gamma(2, 1, shape).astype(np.float32)
@@ -114,22 +122,22 @@ class Sampler:
         self.odd = rng.integers(1, 1 << 62, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.rolling = Rolling(23)
 
-    def weighted(self, h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct shingles in order, their weights, and where each document's begin."""
+    def weighted(self, h: np.ndarray, bounds: np.ndarray, factor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct shingles in order, their weights by the factor, and where each document's begin."""
         sets = [np.unique(h[a:b], return_counts=True) for a, b in zip(bounds[:-1], bounds[1:])]
         keys = np.concatenate([s[0] for s in sets]) if sets else h[:0]
         tf = np.concatenate([s[1] for s in sets]) if sets else np.zeros(0)
         at = np.concatenate([[0], np.cumsum([len(s[0]) for s in sets])]).astype(np.int64)
-        weight = (1 + DAMP * np.log(tf)).astype(np.float32) * self.factor[(keys >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
+        weight = (1 + DAMP * np.log(tf)).astype(np.float32) * factor[(keys >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
         return keys, weight, at
 
-    def bands(self, keys: np.ndarray, weight: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Band hashes, documents x BANDS; documents without shingles get zeros."""
+    def samples(self, keys: np.ndarray, weight: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of bands, documents x BANDS, and of samples; documents without shingles get zeros."""
         n = len(at) - 1
-        out = np.zeros((n, BANDS), np.uint64)
+        out, each = np.zeros((n, BANDS), np.uint64), np.zeros((n, ROWS * BANDS), np.uint32)
         full = np.flatnonzero(np.diff(at) > 0)
         if not len(full):
-            return out
+            return out, each
         starts, log_w = at[full], np.log(weight)
         width = np.diff(at)[full]
         for band in range(BANDS):
@@ -143,9 +151,11 @@ class Sampler:
                 hits = np.flatnonzero(log_a == np.repeat(least, width))
                 owner = np.searchsorted(starts, hits, "right") - 1
                 pick = hits[np.concatenate([[True], owner[1:] != owner[:-1]])]
-                key = mix64(key * ODD + keys[pick] + t[pick].astype(np.int64).astype(np.uint64) * np.uint64(3))
+                sample = mix64(keys[pick] + t[pick].astype(np.int64).astype(np.uint64) * ODD)
+                each[full, k] = sample.astype(np.uint32)
+                key = mix64(key * ODD + sample)
             out[full, band] = key
-        return out
+        return out, each
 
 
 def fingerprints(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,18 +170,19 @@ def fingerprints(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def signatures(docs: DataFrame, sampler) -> DataFrame:
-    """(doc_id, f1, f2, bands): fingerprint of the words and the bands."""
+    """(doc_id, f1, f2, bands, samples): fingerprint of the words, bands, and samples as binary."""
 
     def run(batches):
         own = sampler.value
         for rows, data, offsets in slices(batches, 1):
             h, bounds, (words, at) = shingles(own.rolling, data, offsets)
-            bands = own.bands(*own.weighted(h, bounds)).view(np.int64)
+            bands, each = own.samples(*own.weighted(h, bounds, own.sampled))
+            bands, each = bands.view(np.int64), pa.array([x.tobytes() for x in each], pa.binary())
             f1, f2 = fingerprints(words, at)
             lists = pa.ListArray.from_arrays(np.arange(0, bands.size + 1, BANDS, dtype=np.int32), pa.array(bands.ravel()))
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(f1), pa.array(f2), lists], names=["doc_id", "f1", "f2", "bands"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(f1), pa.array(f2), lists, each], names=["doc_id", "f1", "f2", "bands", "samples"])
 
-    return docs.mapInArrow(run, "doc_id long, f1 long, f2 long, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, f1 long, f2 long, bands array<long>, samples binary")
 
 
 def vectors(docs: DataFrame, sampler) -> DataFrame:
@@ -181,7 +192,7 @@ def vectors(docs: DataFrame, sampler) -> DataFrame:
         own = sampler.value
         for rows, data, offsets in slices(batches, 1):
             h, bounds, _ = shingles(own.rolling, data, offsets)
-            keys, weight, at = own.weighted(h, bounds)
+            keys, weight, at = own.weighted(h, bounds, own.compared)
             cut = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())
             yield pa.RecordBatch.from_arrays([rows.column(0), cut(keys), cut(weight)], names=["doc", "keys", "weights"])
 
@@ -215,12 +226,45 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("a", "b", "a_keys", "a_weights", "b_keys", "b_weights").mapInArrow(run, "a long, b long, sim double")
 
 
-def links(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+def agreeing(todo: DataFrame, samples: DataFrame) -> DataFrame:
+    """Pairs (a, b) of documents of the same bucket that agree in enough samples.
+
+    Buckets are cut into blocks of about BLOCK documents; a task holds two blocks.
+    """
+    sizes = todo.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    placed = todo.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
+    sampled = placed.join(samples, "doc")
+    blocks = stage(
+        sampled.groupBy("key", "block", "blocks").agg(F.collect_list(F.struct("doc", "samples")).alias("docs")), "blocks"
+    )
+    left = blocks.select("key", F.col("docs").alias("a"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("block"))
+    pairs = left.join(blocks.select("key", "block", F.col("docs").alias("b")), ["key", "block"]).select("a", "b")
+
+    def run(batches):
+        def read(column):
+            docs, samples = column.values.field(0).to_numpy(), np.frombuffer(b"".join(column.values.field(1).to_pylist()), np.uint32)
+            return column.offsets.to_numpy(), docs, samples.reshape(-1, ROWS * BANDS)
+
+        for batch in batches:
+            (at_a, docs_a, a), (at_b, docs_b, b) = (read(c) for c in batch.columns)
+            for i in range(batch.num_rows):
+                x, y = slice(at_a[i], at_a[i + 1]), slice(at_b[i], at_b[i + 1])
+                agreed = np.zeros((x.stop - x.start, y.stop - y.start), np.uint8)
+                for k in range(ROWS * BANDS):
+                    agreed += a[x, k, None] == b[None, y, k]
+                u, v = np.nonzero(agreed >= LEAST_AGREED)
+                u, v = docs_a[x][u], docs_b[y][v]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)[u != v]), pa.array(np.maximum(u, v)[u != v])], names=["a", "b"])
+
+    return pairs.mapInArrow(run, "a long, b long").distinct()
+
+
+def links(members: DataFrame, samples: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b) whose links make the same components as all links within buckets (key, doc)."""
     spark, todo = members.sparkSession, members
     found = spark.createDataFrame([], "a long, b long")
     judged_all = None
-    while True:
+    for _ in range(PIVOTS):
         pivots = todo.groupBy("key").agg(F.min("doc").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
         tried = stage(todo.join(pivots, "key").where("doc <> pivot").select("key", F.col("pivot").alias("a"), F.col("doc").alias("b")), "tried")
         sims = stage(compare(tried.select("a", "b").distinct(), sets), "compared")
@@ -228,8 +272,7 @@ def links(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
         found = found.union(sims.where(F.col("sim") >= least).select("a", "b"))
         judged_all = judged if judged_all is None else judged_all.union(judged)
         todo = judged.where(F.col("sim") < least).select("key", F.col("b").alias("doc"))
-        if todo.isEmpty():
-            break
+    found = found.union(stage(compare(agreeing(todo, samples), sets), "compared").where(F.col("sim") >= least).select("a", "b"))
     distance = 1 - least
     near = judged_all.where(F.col("sim") >= least).select(F.col("key").alias("k"), F.col("a").alias("p"), F.col("b").alias("x"), F.col("sim").alias("x_sim"))
     borderline = judged_all.where((F.col("sim") < least) & (F.col("sim") >= 1 - 2 * distance - 1e-9))
@@ -258,6 +301,7 @@ def classes(docs: DataFrame, doc_id="doc_id", text="text", least: float = SIMILA
     sampler = docs.sparkSession.sparkContext.broadcast(Sampler(document_frequencies(own)))
     signed = stage(signatures(own, sampler), "signatures")
     copies = stage(signed.groupBy("f1", "f2").agg(F.min("doc_id").alias("first"), F.min_by("bands", "doc_id").alias("bands")), "copies")
+    samples = signed.select(F.col("doc_id").alias("doc"), "samples").where("doc is not null").dropDuplicates(["doc"])
     banded = copies.where("first is not null").select("first", F.posexplode("bands").alias("band", "value"))
     keyed = stage(banded.select(F.xxhash64("band", "value").alias("key"), F.col("first").alias("doc")).distinct(), "bands")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -266,7 +310,7 @@ def classes(docs: DataFrame, doc_id="doc_id", text="text", least: float = SIMILA
     # Rows that repeat an id are told apart by the fingerprint they stand for; the least id names one of them.
     texts = own.join(wanted.hint("merge"), F.col("doc_id") == F.col("doc"), "left_semi")
     sets = stage(vectors(texts, sampler), "sets")
-    linked = links(members, sets.dropDuplicates(["doc"]), least)
+    linked = links(members, samples, sets.dropDuplicates(["doc"]), least)
     of = stage(components(linked), "classes")
     placed = signed.select("doc_id", "f1", "f2").join(copies.select("f1", "f2", "first"), ["f1", "f2"])
     named = placed.join(of, F.col("first") == F.col("node"), "left")
