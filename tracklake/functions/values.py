@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 FLOATING = (T.DoubleType, T.FloatType)
 
-# White space as the reference's regular expressions understand it, for Java and RE2 alike.
+# White space as R's regular expressions understand it, for Java and RE2 alike.
 BLANK = r"[\t\n\f\r\p{Z}]"
 HAS_LINE_BREAK = r"[\r\n]"
 STARTS_BLANK = f"^{BLANK}"

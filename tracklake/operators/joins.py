@@ -66,8 +66,8 @@ def join_facts(
     """Join event-sized facts with a side table on equal keys.
 
     A side shown to be small is broadcast, so the facts are not shuffled. Otherwise both are
-    shuffled on the keys; the rows of a hot key are spread by a hash of the whole fact row, and
-    the side rows of that key (only those) are repeated once per part. Each fact row is in
+    shuffled on the keys; the rows of a hot key are spread by a hash of the whole fact row and
+    its partition, and the side rows of that key (only those) are repeated once per part. Each fact row is in
     exactly one part, so every join type keeps its meaning. `condition` is a further predicate
     on the matched pair; it refers to columns by name. `small` tells what an earlier size check
     found, or that the side is as large as the facts.
@@ -91,11 +91,15 @@ def join_facts(
 
 
 def _spread_facts(facts: DataFrame, hot: DataFrame, on: list[str]) -> DataFrame:
-    """Give each fact row its part: by row hash for hot and for missing keys, else 0."""
+    """Give each fact row its part: by row hash for hot and for missing keys, else 0.
+
+    The hash takes in the number of the partition that holds the row, so equal rows go to as many
+    parts as they lie in partitions; a task that runs again gives its rows the same parts.
+    """
     no_key = F.lit(False)
     for name in on:
         no_key = no_key | F.col(name).isNull()
-    row_hash = F.xxhash64(*[F.col(n) for n in facts.columns])
+    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(n) for n in facts.columns])
     part = (
         F.when(no_key, F.pmod(row_hash, F.lit(NULL_KEY_SPREAD)))
         .when(F.col("_spread").isNotNull(), F.pmod(row_hash, F.col("_spread")))

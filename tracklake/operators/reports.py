@@ -77,24 +77,29 @@ def manufacturers(tag: DataFrame) -> DataFrame:
 # --- events ---
 
 
+def of_study(event: DataFrame, study_id: int) -> DataFrame:
+    """Events of one study, where they carry it: stored tables then read only its folders."""
+    return event.where(F.col("study_id") == study_id) if "study_id" in event.columns else event
+
+
 def events_per_individual(event: DataFrame, individual: DataFrame, study_id: int) -> DataFrame:
     """Locations per individual of one study."""
     members = individual.where(F.col("study_id") == study_id)
-    return event.groupBy("individual_id").agg(num()).join(
-        members.select("individual_id"), "individual_id"
-    )
+    counts = of_study(event, study_id).groupBy("individual_id").agg(num())
+    return counts.join(members.select("individual_id"), "individual_id")
 
 
 def events_per_individual_semi(event: DataFrame, individual: DataFrame, study_id: int) -> DataFrame:
     """The same by set membership: repeated individuals would not multiply the counts."""
     members = individual.where(F.col("study_id") == study_id)
-    return keep_matching(event.groupBy("individual_id").agg(num()), members, ["individual_id"])
+    counts = of_study(event, study_id).groupBy("individual_id").agg(num())
+    return keep_matching(counts, members, ["individual_id"])
 
 
 def individual_extents(event: DataFrame, individual: DataFrame, study_id: int) -> DataFrame:
     """Count, first and last time per individual of one study."""
     members = individual.where(F.col("study_id") == study_id).select("individual_id")
-    return events_by_individual(event).join(members, "individual_id")
+    return events_by_individual(of_study(event, study_id)).join(members, "individual_id")
 
 
 def study_extents(event: DataFrame, individual: DataFrame) -> DataFrame:
@@ -130,7 +135,8 @@ def years_of_study(
         (F.col("study_id") == study_id) & (F.col("taxon_canonical_name") == species_name)
     ).select("individual_id")
     per_year = (
-        event.groupBy("individual_id", year_text(F.col("timestamp")).alias("year"))
+        of_study(event, study_id)
+        .groupBy("individual_id", year_text(F.col("timestamp")).alias("year"))
         .agg(
             num("obs"), F.min("timestamp").alias("min_ts"), F.max("timestamp").alias("max_ts")
         )
@@ -212,7 +218,7 @@ def individual_dates(event: DataFrame, individual: DataFrame, study_id: int) ->
     """First and last date per individual of one study."""
     people = individual.where(F.col("study_id") == study_id)
     return (
-        events_by_individual(event)
+        events_by_individual(of_study(event, study_id))
         .join(people.select("individual_id", "local_identifier"), "individual_id")
         .select(
             "individual_id",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tracklake.operators.checks import all_of
 from tracklake.operators.joins import join_facts
 from tracklake.operators.relate import drop_matching, keep_matching
+from tracklake.operators.reports import of_study
 from tracklake.schema import ENTITIES
 from tracklake.session import stage
 from tracklake.sources import tables
@@ -26,7 +27,7 @@ def extract_study(db: dict[str, DataFrame], study_id: int) -> dict[str, DataFram
         "tag": tag,
         "sensor": keep_matching(db["sensor"], tag, ["tag_id"]),
         "event": join_facts(
-            db["event"], individual.select("individual_id"), ["individual_id"], "left_semi"
+            of_study(db["event"], study_id), individual.select("individual_id"), ["individual_id"], "left_semi"
         ),
     }
 
@@ -51,7 +52,8 @@ def split_for_delete(
         df = db[entity]
         if entity in ("tag", "sensor"):
             out[entity] = (keep_matching(df, used, ["tag_id"]), drop_matching(df, used, ["tag_id"]))
-        elif entity in ("study", "individual"):
+        elif "study_id" in df.columns:
+            # By the study of the row, which is the folder that delete_study drops.
             gone = F.col("study_id") == study_id
             out[entity] = (df.where(gone), df.where(~gone | F.col("study_id").isNull()))
         else:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracklake.operators.joins import join_facts
-from tracklake.schema import sensor_types
+from tracklake.schema import SENSOR_TYPES, sensor_types
 from tracklake.session import configure
 
 AS_OF = "2024-01-29 00:00:00"
@@ -132,7 +132,9 @@ def columns(mapping: dict[str, str]) -> str:
 
 
 # The same relations as SQL for DuckDB, in the order they build on each other.
-SENSOR_TYPE_SQL = "select * from (values (397, 'Bird Ring'), (653, 'GPS'), (673, 'Radio Transmitter'), (82798, 'Argos Doppler Shift'), (2365682, 'Natural Mark'), (2365683, 'Acceleration'), (3886361, 'Solar Geolocator'), (7842954, 'Accessory Measurements'), (9301403, 'Solar Geolocator Raw'), (77740391, 'Barometer'), (77740402, 'Magnetometer')) t(id, name)"
+SENSOR_TYPE_SQL = "select * from (values {}) t(id, name)".format(
+    ", ".join(f"({number}, '{title}')" for _, number, _, title in SENSOR_TYPES)
+)
 RELATIONS = {
     "m_sensor_type": SENSOR_TYPE_SQL,
     "m_study": f"select {columns(STUDY)} from nation",

@@ -22,6 +22,12 @@ COMMIT_SCHEMA = "seq bigint, load_id string, study_id bigint, entity string, sta
 SORT_WITHIN = {"event": ("individual_id", "timestamp")}
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something under a path, in any store that Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def create_tables(spark: SparkSession, root: str) -> None:
     """Empty tables with their fixed columns, where there are none yet."""
     for entity in ENTITIES:
@@ -55,12 +61,7 @@ def append_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("stu
     """Append to one plain table by column name; returns how many rows it grew by."""
     spark = df.sparkSession
     schema = df.schema
-    try:
-        before = spark.read.schema(schema).parquet(path).count()
-    except Exception as error:  # the first append creates the folder
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        before = 0
+    before = spark.read.schema(schema).parquet(path).count() if exists(spark, path) else 0
     balanced = balanced_by_study(df) if partition_by == ("study_id",) else df
     balanced.write.mode("append").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(schema).parquet(path).count() - before
@@ -120,7 +121,12 @@ def commit(parts: DataFrame, root: str) -> None:
 
 
 def write_event_stats(stats: DataFrame, root: str) -> None:
-    """Append rows to the statistics table."""
+    """Append rows to the statistics table; its key is the individual, which must be new to it."""
+    spark, path = stats.sparkSession, f"{root}/event_indiv_stats"
+    if exists(spark, path):
+        known = read_event_stats(spark, root).select("individual_id")
+        if not join_facts(known, stats.select("individual_id"), ["individual_id"], "left_semi").isEmpty():
+            raise ValueError("the table has statistics of some of these individuals")
     names = [f.split()[0] for f in EVENT_STATS_SCHEMA.split(", ")]
     stats.select(*names).write.mode("append").parquet(f"{root}/event_indiv_stats")
 
