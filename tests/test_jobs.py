@@ -2,12 +2,13 @@
 
 import fixtures
 import pytest
+from pyspark.sql import functions as F
 
 from tracklake.operators import reports
 from tracklake.plans.clean import clean
 from tracklake.plans.load import import_clean, read_clean, run, validate_import
 from tracklake.plans.remove import delete_study, extract_study
-from tracklake.schema import ENTITIES
+from tracklake.schema import ENTITIES, EVENT_STATS_SCHEMA
 from tracklake.session import scratch_path
 from tracklake.sources import lookup, raw, tables
 
@@ -74,7 +75,41 @@ def test_dry_run_shows_nothing(spark, cleaned):
     done = import_clean(spark, cleaned.tables, root, dry_run=True)
     assert not done.committed
     assert {(r.entity, r.study_id): r.num for r in done.rows.collect()}[("event", 1000)] == 3
-    assert sum(counts(tables.read_tables(spark, root)).values()) == 0
+    assert not tables.exists(spark, root)
+
+
+def test_study_that_borrows_from_a_refused_one_is_refused(spark, cleaned):
+    """Study 1000 repeats an individual; study 2000 uses one of its tags."""
+    new = dict(cleaned.tables)
+    new["individual"] = new["individual"].unionByName(new["individual"].where("study_id = 1000").limit(1))
+    lent = new["deployment"].where("study_id = 1000").first()["tag_id"]
+    tag = F.when(F.col("study_id") == 2000, F.lit(lent)).otherwise(F.col("tag_id"))
+    new["deployment"] = new["deployment"].withColumn("tag_id", tag)
+    root = scratch_path(spark, "db")
+    done = import_clean(spark, new, root)
+    assert {r.study_id for r in done.violations.select("study_id").distinct().collect()} == {1000, 2000}
+    assert done.passed.isEmpty() and sum(counts(tables.read_tables(spark, root)).values()) == 0
+
+
+def test_statistics_are_written_once(spark):
+    root = scratch_path(spark, "db")
+    stats = spark.createDataFrame([(1,)], "individual_id bigint")
+    for field in EVENT_STATS_SCHEMA.split(", ")[1:]:
+        name, kind = field.split()
+        stats = stats.withColumn(name, F.lit(None).cast(kind))
+    tables.create_tables(spark, root)
+    tables.write_event_stats(stats, root)
+    with pytest.raises(ValueError):
+        tables.write_event_stats(stats, root)
+    assert tables.read_event_stats(spark, root).count() == 1
+
+
+def test_reports_of_a_study_read_its_folders(spark, cleaned, database):
+    db = tables.read_tables(spark, database[0])
+    plan = reports.events_per_individual(db["event"], db["individual"], 1000)._jdf.queryExecution().toString()
+    filters = [line for line in plan.split("\n") if "PartitionFilters" in line or "FileScan" in line]
+    assert any("study_id" in line and "1000" in line.split("PartitionFilters")[-1] for line in filters)
+    assert reports.events_per_individual(db["event"], db["individual"], 1000).agg(F.sum("num")).first()[0] == 3
 
 
 def test_rows_without_commit_are_not_seen(spark, cleaned):

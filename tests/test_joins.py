@@ -118,6 +118,16 @@ def test_hot_keys_are_split_over_parts(spark):
     assert max(r["count"] for r in parts) < 320
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_equal_rows_of_a_hot_key_are_split(spark, how):
+    facts = spark.range(1000, numPartitions=8).select(F.lit(1).cast("bigint").alias("k"))
+    hot = joins.hot_keys(facts, ["k"], 100)
+    assert joins._spread_facts(facts, hot, ["k"]).select("_part").distinct().count() > 3
+    side = spark.createDataFrame([(1, "a"), (2, "b")], "k bigint, v string")
+    got = joins.join_facts(facts, side, ["k"], how, broadcast_bytes=0, hot_rows=100)
+    assert got.count() == (0 if how == "left_anti" else 1000)
+
+
 def test_full_and_right_joins_are_refused(spark):
     df = spark.range(1)
     with pytest.raises(ValueError):

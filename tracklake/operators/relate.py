@@ -66,8 +66,15 @@ def null_keyed_deployments(deployments: DataFrame) -> DataFrame:
 
 
 def fill_study(events: DataFrame, individual: DataFrame) -> DataFrame:
-    """Set the study of each event from its individual."""
-    side = individual.select("individual_id", "study_id")
+    """Set the study of each event from its individual.
+
+    An individual that stands in several studies tells none: its events get a missing study, and none
+    of them is repeated.
+    """
+    studies = individual.groupBy("individual_id").agg(
+        F.min("study_id").alias("study_id"), F.count_distinct("study_id").alias("_n")
+    )
+    side = studies.where("_n = 1").drop("_n")
     return join_facts(events.drop("study_id"), side, ["individual_id"], "left")
 
 

@@ -54,7 +54,8 @@ def import_clean(
 ) -> Imported:
     """Append clean tables, parents first. Each study comes in whole or not at all.
 
-    References and keys are checked against the new rows and the tables before anything shows.
+    References and keys are checked against the new rows and the tables before anything shows. Where
+    studies are refused, references are checked again without them, until nothing more is.
     A dry run writes nothing to the tables and returns the counts.
     """
     if not dry_run:
@@ -63,10 +64,15 @@ def import_clean(
     there = tables.exists(spark, f"{root}/commits")
     existing = tables.read_tables(spark, root) if there else {e: empty_table(spark, e) for e in ENTITIES}
     found = checks.broken_references(new, existing).unionByName(checks.taken_keys(new, existing))
-    violations = stage(found, "import-violations")
+    found = violations = stage(found, "import-violations")
     studies = new["study"].select("study_id").distinct()
-    passed = stage(studies.join(checks.failed_studies(violations), "study_id", "left_anti"), "passed")
-    good = of_studies(new, passed)
+    while True:
+        passed = stage(studies.join(checks.failed_studies(violations), "study_id", "left_anti"), "passed")
+        good = of_studies(new, passed)
+        if found.isEmpty():
+            break
+        found = stage(checks.broken_references(good, existing), "more-violations")
+        violations = violations.unionByName(found)
     load_id = tables.new_load_id()
     counts = []
     for entity in ENTITIES:

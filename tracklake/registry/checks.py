@@ -16,20 +16,32 @@ def row(check: str, key: str, detail: str) -> str:
     return ROW.format(check=check, key=key, detail=detail)
 
 
+# Every table loses rows of some studies.
+FEW = {
+    "study": ("m_study", "study_id % 7 <> 6"),
+    "individual": ("m_individual", "individual_id % 3 = 0"),
+    "tag": ("m_tag", "study_id % 5 <> 1"),
+    "sensor": ("m_sensor", "study_id % 6 <> 2"),
+    "deployment": ("m_deployment", "study_id % 8 <> 3"),
+    "event": ("m_raw", "study_id % 4 <> 0"),
+}
+
+
 @query(
     "J1",
-    "select s.study_id, 'has_records' as \"check\", 'individual' as key, 'no records' as detail from m_study s "
-    "where s.study_id not in (select study_id from m_individual where individual_id % 3 = 0) union all "
-    "select s.study_id, 'has_records', 'event', 'no records' from m_study s "
-    "where s.study_id not in (select study_id from m_raw where study_id % 4 <> 0)",
+    " union all ".join(
+        f"select s.study_id, 'has_records' as \"check\", '{name}' as key, 'no records' as detail from m_study s "
+        f"where s.study_id not in (select study_id from {table} where {kept} and study_id is not null)"
+        for name, (table, kept) in FEW.items()
+    ),
 )
 def entities_without_records(t: Testbed):
-    """Two tables that lost rows: every third individual stays, every fourth study has no events."""
-    few = {
-        "individual": t.individual.where("individual_id % 3 = 0"),
-        "event": t.raw_event.where("study_id % 4 <> 0"),
+    """Six tables that lost rows of some studies."""
+    frames = {
+        "study": t.study, "individual": t.individual, "tag": t.tag, "sensor": t.sensor,
+        "deployment": t.deployment, "event": t.raw_event,
     }
-    return op.entities_without_records(t.study, few)
+    return op.entities_without_records(t.study, {name: frames[name].where(kept) for name, (_, kept) in FEW.items()})
 
 
 @query(
@@ -74,16 +86,25 @@ def shared_deployment_ends(t: Testbed):
     return op.shared_deployment_ends(dep.unionByName(later).unionByName(earlier))
 
 
+KEYED = ("individual", "tag", "sensor", "deployment")
+
+
 @query(
     "J5",
-    f"select {row('primary_key', "concat('individual/', individual_id)", 'cast(count(*) as varchar)')} from "
-    "(select individual_id, study_id from m_individual union all select individual_id, study_id from m_individual where individual_id % 20 = 0) "
-    "group by study_id, individual_id having count(*) > 1",
+    " union all ".join(
+        f"select {row('primary_key', f"concat('{name}/', {name}_id)", 'cast(count(*) as varchar)')} from "
+        f"(select {name}_id, study_id from m_{name} union all select {name}_id, study_id from m_{name} where {name}_id % 20 = 0) "
+        f"group by study_id, {name}_id having count(*) > 1"
+        for name in KEYED
+    ),
 )
 def repeated_keys(t: Testbed):
-    """Every twentieth individual occurs twice."""
-    people = t.individual.select("individual_id", "study_id")
-    return op.repeated_keys(people.unionByName(people.where("individual_id % 20 = 0")), "individual")
+    """Every twentieth row of four tables occurs twice."""
+    frames = {"individual": t.individual, "tag": t.tag, "sensor": t.sensor, "deployment": t.deployment}
+    keys = {name: df.select(f"{name}_id", "study_id") for name, df in frames.items()}
+    return op.all_of(
+        *(op.repeated_keys(df.unionByName(df.where(f"{name}_id % 20 = 0")), name) for name, df in keys.items())
+    )
 
 
 @query(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tracklake.functions.times import millis_text
 from tracklake.operators import reports as op
 from tracklake.operators import shape
+from tracklake.operators.joins import join_facts
 from tracklake.registry.base import query
 from tracklake.registry.joins import located
 from tracklake.registry.mapping import Testbed
@@ -104,6 +105,14 @@ def events_per_study(t: Testbed):
     return op.events_per_study(t.ship, t.individual)
 
 
+@query("E11 D14", _PER_STUDY)
+def events_per_study_spread(t: Testbed):
+    """Every event joined by its key alone, as if individuals were hot and owners too many to broadcast."""
+    owners = t.individual.select("individual_id", "study_id")
+    joined = join_facts(t.ship.select("individual_id"), owners, ["individual_id"], broadcast_bytes=0, hot_rows=20)
+    return joined.groupBy("study_id").agg(op.num())
+
+
 @query(
     "E11",
     "select i.study_id, study_name, count(*) as num from m_ship e join m_individual i on e.individual_id = i.individual_id "
