@@ -221,7 +221,8 @@ def shared_cores(phrases: DataFrame, least: int) -> DataFrame:
     known = kinds.select("rank", "n").join(pairs, "rank", "left")
     joined = ranked.join(known, "rank")
     whole = F.size("cores")
-    shared = F.when(F.col("n") > 1, whole).otherwise(F.least(F.coalesce("with_next", F.lit(0)), whole))
+    # The shortest core is part of the context, which is known to stand twice.
+    shared = F.when(F.col("n") > 1, whole).otherwise(F.greatest(F.lit(1), F.least(F.coalesce("with_next", F.lit(0)), whole)))
     return joined.select("rid", "i", shared.alias("shared"))
 
 
@@ -274,7 +275,7 @@ def repeated_starts(texts: DataFrame, least: int) -> DataFrame:
     known = phrases.where("candidate").select("rid", "i", "nexts").join(shared_cores(phrases, least), ["rid", "i"])
     # The next core that is not shared ends at an anchor that the string of a start must not hold.
     stop = F.when(F.col("shared") <= F.size("nexts"), F.get("nexts", F.col("shared") - 1) - reach(least)[1] - 1)
-    tops = known.where("shared > 0").select("rid", "i", stop.alias("stop"))
+    tops = known.select("rid", "i", stop.alias("stop"))
     ranges = single.join(tops, ["rid", "i"]).withColumn("top", F.least("high", "stop")).where("top >= low")
     ranges = ranges.select("rid", F.struct("low", "top").alias("range"))
     rows = stage(spelled(texts, ranges.groupBy("rid").agg(F.collect_list("range").alias("ranges")), least), "spelled")

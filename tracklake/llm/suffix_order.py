@@ -6,7 +6,9 @@ follow from their first symbol and the rank after it, and are merged with the sa
 sorts by range, grouped counts and joins, so no task holds more than its part of a sort.
 
 Suffixes need only be told apart up to a length in bytes, which the symbols bring with them: recursion
-ends once each repeated name covers it. Suffixes that agree up to there share a rank.
+ends once each repeated name covers it. Suffixes that agree up to there share a rank. Within recursion,
+only names that are still ambiguous go on, with the one that follows them: a name that stands once, or
+covers enough, ends any comparison.
 """
 
 import numpy as np
@@ -54,6 +56,34 @@ def following(df: DataFrame, columns: dict[str, tuple[str, int]]) -> DataFrame:
     return df.withColumns({name: F.coalesce(F.lead(c, n).over(place), F.lit(END)) for name, (c, n) in columns.items()})
 
 
+def ambiguous(strings: DataFrame, enough: int) -> DataFrame:
+    """Symbols that stand more than once and do not cover enough."""
+    repeated = strings.groupBy("sym").agg(F.count(F.lit(1)).alias("n"), F.min("len").alias("len"))
+    return stage(repeated.where((F.col("n") > 1) & (F.col("len") < enough)).select("sym"), "ambiguous")
+
+
+def refine(names: DataFrame, open_names: DataFrame, enough: int) -> DataFrame:
+    """Ranks of strings of names, of which only some are ambiguous.
+
+    A name is the number of lesser ones, so there is room for its suffixes up to the next name.
+    """
+    place = Window.partitionBy("str", "half").orderBy("k")
+    marked = names.join(open_names.withColumn("open", F.lit(1)), "sym", "left").withColumn("before", F.lag("open").over(place))
+    runs = marked.where("open is not null or before is not null").withColumn(
+        "first", F.last(F.when(F.col("open").isNotNull() & F.col("before").isNull(), F.col("k")), ignorenulls=True).over(place)
+    )
+    runs = runs.select(
+        F.xxhash64("str", "half", "first").alias("run"), (F.col("k") - F.col("first")).alias("place"), "str", "half", "k", "sym", "len", "open"
+    )
+    runs = stage(runs, "runs")
+    strings = runs.select(F.col("run").alias("str"), F.lit(1).cast("long").alias("half"), F.col("place").alias("k"), "sym", "len")
+    order = difference_cover(strings, enough).select(F.col("str").alias("run"), F.col("k").alias("place"), "rank")
+    found = stage(runs.where("open is not null").join(order, ["run", "place"]).select("str", "half", "k", "sym", "rank"), "refined")
+    least = found.groupBy("sym").agg(F.min("rank").alias("least"))
+    within = found.join(least, "sym").select("str", "half", "k", (F.col("sym") + F.col("rank") - F.col("least")).alias("rank"))
+    return names.join(within, ["str", "half", "k"], "left").select("str", "half", "k", F.coalesce("rank", "sym").alias("rank"))
+
+
 def ranks(strings: DataFrame, enough: int) -> DataFrame:
     """(str, half, k, rank) for strings (str, half, k, sym, len): str and half name a string, k a place.
 
@@ -61,9 +91,13 @@ def ranks(strings: DataFrame, enough: int) -> DataFrame:
 
     len is the number of bytes that a symbol covers; `enough` that it reaches the end.
     """
-    repeated = strings.groupBy("sym").agg(F.count(F.lit(1)).alias("n"), F.min("len").alias("len"))
-    if repeated.where((F.col("n") > 1) & (F.col("len") < enough)).isEmpty():
+    if ambiguous(strings, enough).isEmpty():
         return strings.select("str", "half", "k", F.col("sym").alias("rank"))
+    return difference_cover(strings, enough)
+
+
+def difference_cover(strings: DataFrame, enough: int) -> DataFrame:
+    """As ranks, by the ranks of the sample; a rank is the number of lesser suffixes."""
     ahead = stage(following(strings, {"s1": ("sym", 1), "s2": ("sym", 2), "l1": ("len", 1), "l2": ("len", 2)}), "ahead")
     covered = F.when(F.col("s2") == END, F.lit(enough)).otherwise(F.least(F.col("len") + F.col("l1") + F.col("l2"), F.lit(enough)))
     sample = ahead.where("k % 3 <> 0").select("str", "half", "k", "sym", "s1", "s2", covered.cast("long").alias("len"), F.lit(1).alias("one"))
@@ -71,7 +105,9 @@ def ranks(strings: DataFrame, enough: int) -> DataFrame:
     named = sample.join(names, ["sym", "s1", "s2"]).select(
         "str", (F.col("half") * 2 + F.col("k") % 3 - 1).alias("half"), F.floor(F.col("k") / 3).cast("long").alias("k"), F.col("name").alias("sym"), "len"
     )
-    inner = ranks(stage(named, "names"), enough)
+    named = stage(named, "names")
+    left = ambiguous(named, enough)
+    inner = named.withColumn("rank", F.col("sym")) if left.isEmpty() else refine(named, left, enough)
     back = inner.select(
         "str", F.shiftright("half", 1).alias("half"), (F.col("k") * 3 + F.col("half") % 2 + 1).alias("k"), "rank"
     )
