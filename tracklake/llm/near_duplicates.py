@@ -1,19 +1,21 @@
 """Near-duplicate classes by improved consistent weighted sampling over TF-IDF shingles.
 
-A document is the weighted set of its five-word shingles. Samples are drawn with the weights
-(1 + DAMP ln tf) ln(1 + N/df), so that passages in many documents seldom become samples. Similarity is
-weighted Jaccard with (1 + DAMP ln tf)(1 + DAMP ln(N/df)): with the plain weights, the shingles of a
-large group of near copies would count for little beside each copy's own changes, and a repeated line
-would outweigh a text. Document frequencies are counted over all documents, in 2**20 buckets of shingle
-hashes, a table of fixed size.
+A document is the weighted set of its five-word shingles, weight (1 + DAMP ln tf)(1 + d ln(N/df)). Both parts
+are damped: with plain weights the shingles of a large group of near copies would count for little beside
+each copy's own changes, and a repeated line would outweigh a text. For similarity d is DAMP; samples
+are drawn with d = SAMPLED, so that passages in many documents become samples more seldom, while
+copies within a group of a third of all documents still share most samples. Document frequencies are
+counted over all documents, in 2**20 buckets of shingle hashes, a table of fixed size.
 
 Improved consistent weighted sampling gives ROWS x BANDS samples per document; two documents agree in
 a sample with the probability of their weighted Jaccard similarity. Equal bands make candidates. At a
 similarity of 0.8, all bands of a pair differ once in 25,000 pairs, above that less often.
 
 Documents with the same sequence of words are one class from the start, and one of them stands for it.
-Within a bucket of candidates pairs are not listed. All members are compared with the least one, and those
-not linked to it with the least of them. What is then left of a bucket, documents that share little, is
+Within a bucket of candidates pairs are not listed. All members are compared with a pivot, and those not linked
+to it with a second one. A pivot is the least member of a small bucket; in one of LARGE members and more, it is the
+one that agrees most with the most common samples, the text that near copies were made from, if it is
+there. What is then left of a bucket, documents that share little, is
 compared in blocks of samples: only pairs that agree in LEAST_AGREED samples go on to the similarity. One
 minus the similarity is a metric, so a member y that is not linked to a pivot p can only be linked to a
 member x that is if d(y,p) <= d(x,p) + 0.2; such pairs are compared where x and y are in different classes.
@@ -37,11 +39,12 @@ from tracklake.session import stage
 WORDS = 5
 ROWS, BANDS = 3, 14
 SIMILARITY = 0.8
-DAMP = 0.05
+DAMP, SAMPLED = 0.05, 0.25
 BUCKET_BITS, BLOCK_BITS = 20, 14
 RANDOM_BITS = 14
 ODD = np.uint64(0x9E3779B97F4A7C15)
 PIVOTS = 2
+LARGE = 16
 BLOCK = 512
 # Of 42 samples; a pair with similarity 0.8 agrees in 34, and in fewer than 12 practically never, also
 # where a group of a third of all documents makes the sampled weights of common shingles small.
@@ -113,7 +116,7 @@ class Sampler:
     """Weighted sets of documents and their samples."""
 
     def __init__(self, rarity: np.ndarray):
-        self.sampled, self.compared = np.log1p(rarity).astype(np.float32), (1 + DAMP * np.log(rarity)).astype(np.float32)
+        self.sampled, self.compared = ((1 + damp * np.log(rarity)).astype(np.float32) for damp in (SAMPLED, DAMP))
         rng = np.random.default_rng(29)
         shape = (ROWS * BANDS, 1 << RANDOM_BITS)
         self.r = rng.gamma(2, 1, shape).astype(np.float32)
@@ -170,19 +173,20 @@ def fingerprints(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def signatures(docs: DataFrame, sampler) -> DataFrame:
-    """(doc_id, f1, f2, bands, samples): fingerprint of the words, bands, and samples as binary."""
+    """(doc_id, f1, f2, bands, samples): fingerprint of the words, bands, and samples."""
 
     def run(batches):
         own = sampler.value
         for rows, data, offsets in slices(batches, 1):
             h, bounds, (words, at) = shingles(own.rolling, data, offsets)
             bands, each = own.samples(*own.weighted(h, bounds, own.sampled))
-            bands, each = bands.view(np.int64), pa.array([x.tobytes() for x in each], pa.binary())
+            bands = bands.view(np.int64)
+            each = pa.ListArray.from_arrays(np.arange(0, each.size + 1, ROWS * BANDS, dtype=np.int32), pa.array(each.view(np.int32).ravel()))
             f1, f2 = fingerprints(words, at)
             lists = pa.ListArray.from_arrays(np.arange(0, bands.size + 1, BANDS, dtype=np.int32), pa.array(bands.ravel()))
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(f1), pa.array(f2), lists, each], names=["doc_id", "f1", "f2", "bands", "samples"])
 
-    return docs.mapInArrow(run, "doc_id long, f1 long, f2 long, bands array<long>, samples binary")
+    return docs.mapInArrow(run, "doc_id long, f1 long, f2 long, bands array<long>, samples array<int>")
 
 
 def vectors(docs: DataFrame, sampler) -> DataFrame:
@@ -226,6 +230,23 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("a", "b", "a_keys", "a_weights", "b_keys", "b_weights").mapInArrow(run, "a long, b long, sim double")
 
 
+def pivots_of(todo: DataFrame, samples: DataFrame) -> DataFrame:
+    """(key, pivot) of each bucket with two members or more.
+
+    The most common samples of a large bucket come from sketches of fixed size per bucket.
+    """
+    sizes = todo.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("least")).where("n > 1")
+    sizes = stage(sizes, "bucket-sizes")
+    large = todo.join(sizes.where(F.col("n") >= LARGE).select("key"), "key")
+    sampled = stage(large.join(samples, "doc"), "large-buckets")
+    common = [F.expr(f"approx_top_k(samples[{k}], 1, 64)[0].item") for k in range(ROWS * BANDS)]
+    modes = sampled.groupBy("key").agg(*(c.alias(f"m{k}") for k, c in enumerate(common)))
+    modes = modes.select("key", F.array(*(f"m{k}" for k in range(len(common)))).alias("modes"))
+    agreed = F.size(F.filter(F.zip_with("samples", "modes", lambda x, y: x == y), lambda x: x))
+    best = sampled.join(modes, "key").groupBy("key").agg(F.max_by("doc", F.struct(agreed, -F.col("doc"))).alias("central"))
+    return sizes.join(best, "key", "left").select("key", F.coalesce("central", "least").alias("pivot"))
+
+
 def agreeing(todo: DataFrame, samples: DataFrame) -> DataFrame:
     """Pairs (a, b) of documents of the same bucket that agree in enough samples.
 
@@ -242,7 +263,7 @@ def agreeing(todo: DataFrame, samples: DataFrame) -> DataFrame:
 
     def run(batches):
         def read(column):
-            docs, samples = column.values.field(0).to_numpy(), np.frombuffer(b"".join(column.values.field(1).to_pylist()), np.uint32)
+            docs, samples = column.values.field(0).to_numpy(), column.values.field(1).flatten().to_numpy()
             return column.offsets.to_numpy(), docs, samples.reshape(-1, ROWS * BANDS)
 
         for batch in batches:
@@ -265,7 +286,7 @@ def links(members: DataFrame, samples: DataFrame, sets: DataFrame, least: float)
     found = spark.createDataFrame([], "a long, b long")
     judged_all = None
     for _ in range(PIVOTS):
-        pivots = todo.groupBy("key").agg(F.min("doc").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        pivots = pivots_of(todo, samples)
         tried = stage(todo.join(pivots, "key").where("doc <> pivot").select("key", F.col("pivot").alias("a"), F.col("doc").alias("b")), "tried")
         sims = stage(compare(tried.select("a", "b").distinct(), sets), "compared")
         judged = stage(tried.join(sims, ["a", "b"]), "judged")
