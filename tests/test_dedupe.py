@@ -80,6 +80,10 @@ def test_stored_events_give_the_same(frame):
     events = stage(cases(frame), "events")
     groups = stage(dedupe.duplicate_groups(events), "groups")
     assert ids(dedupe.dedupe_stored(events, groups)) == KEPT
+    many = dedupe.dedupe_stored(events, groups, broadcast_bytes=0)
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1, plan
+    assert ids(many) == KEPT
 
 
 def test_exact_times_only(frame):

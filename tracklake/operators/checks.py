@@ -257,9 +257,10 @@ def taken_keys(new: dict[str, DataFrame], existing: dict[str, DataFrame]) -> Dat
         key = PRIMARY_KEY[entity]
         rows = df.select("study_id", F.col(key).alias("_key"), F.lit(1).alias("_new"))
         if entity in existing:
-            # Only the ids that come again: a runtime filter spares most of the table its shuffle.
+            # New ids are mostly later ones: only row groups that reach into their range are read.
+            least, most = df.agg(F.min(key), F.max(key)).first()
             again = (
-                existing[entity]
+                existing[entity].where(F.col(key).between(least, most))
                 .select("study_id", F.col(key).alias("_key"), F.lit(0).alias("_new"))
                 .join(df.select(F.col(key).alias("_key")).distinct(), "_key", "left_semi")
             )

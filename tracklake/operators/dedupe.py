@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tracklake.functions.times import millis_text, to_unit
 from tracklake.functions.values import missing, present, round_even, value_count
-from tracklake.operators.joins import is_small, join_facts
+from tracklake.operators.joins import BROADCAST_BYTES, is_small, join_facts
 from tracklake.session import checkpointed, stage
 
 KEYS = ("study_id", "individual_id", "tag_id", "sensor_type_id")
@@ -126,14 +126,18 @@ def dedupe_events(
 
 
 def dedupe_stored(
-    df: DataFrame, groups: DataFrame, keys=KEYS, unit: str | None = "second", **options
+    df: DataFrame, groups: DataFrame, keys=KEYS, unit: str | None = "second",
+    broadcast_bytes: int = BROADCAST_BYTES, **options
 ) -> DataFrame:
     """As dedupe_events, for events in a table and their duplicate groups, known already.
 
-    Only rows of those groups are ranked. All other rows, nearly all as a rule, pass without
-    being shuffled; the price is a second reading of the table.
+    Where the groups are few enough to broadcast, only rows of those groups are ranked. All other
+    rows, nearly all as a rule, pass without being shuffled; the price is a second reading of
+    the table. Where they are not, all rows are ranked in one shuffle, as by dedupe_events.
     """
-    small = is_small(with_group(groups, keys).select(GROUP))
+    small = is_small(with_group(groups, keys).select(GROUP), broadcast_bytes)
+    if not small:
+        return dedupe_events(df, keys, unit, **options)
     marked = with_time_unit(df, unit)
     side = groups.select(*keys, TIME_UNIT)
     single = join_groups(marked, side, keys, "left_anti", small=small).drop(TIME_UNIT)

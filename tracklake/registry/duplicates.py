@@ -82,6 +82,14 @@ def deduplicated_events(t: Testbed):
     return out.withColumn("ground_speed", F.when(present(out, "ground_speed"), F.col("ground_speed")))
 
 
+@query("F4 K1", "select event_id from m_unique")
+def deduplicated_many_groups(t: Testbed):
+    """The same events with their groups held to be too many to broadcast."""
+    events = located(t)
+    groups = dedupe.duplicate_groups(events)
+    return dedupe.dedupe_stored(events, groups, counted=RAW_COLUMNS, broadcast_bytes=0).select("event_id")
+
+
 SHIP_ORDER = ("timestamp", "lon", "lat", "ground_speed")
 
 
