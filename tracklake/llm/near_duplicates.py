@@ -9,14 +9,15 @@ counted over all documents, in 2**20 buckets of shingle hashes, a table of fixed
 
 Improved consistent weighted sampling gives ROWS x BANDS samples per document; two documents agree in
 a sample with the probability of their weighted Jaccard similarity. Equal bands make candidates. At a
-similarity of 0.8, all bands of a pair differ once in 25,000 pairs, above that less often.
+similarity of 0.8, all bands of a pair differ once in a million pairs, above that less often.
 
 Documents with the same sequence of words are one class from the start, and one of them stands for it.
 Within a bucket of candidates pairs are not listed. All members are compared with a pivot, and those not linked
 to it with a second one. A pivot is the least member of a small bucket; in one of LARGE members and more, it is the
 one that agrees most with the most common samples, the text that near copies were made from, if it is
-there. What is then left of a bucket, documents that share little, is
-compared in blocks of samples: only pairs that agree in LEAST_AGREED samples go on to the similarity. One
+there. What is then left of a small bucket is
+compared in pairs; of a large one, in blocks, two to a task, which hand on their links alone: pairs that agree in LEAST_AGREED
+samples are compared by their sets. One
 minus the similarity is a metric, so a member y that is not linked to a pivot p can only be linked to a
 member x that is if d(y,p) <= d(x,p) + 0.2; such pairs are compared where x and y are in different classes.
 So the classes are the components of all links between candidates, without a list of all pairs.
@@ -29,7 +30,7 @@ of a class repeats, one of its texts is compared. An empty table gives an empty
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklake.llm.batches import Rolling, mix64, slices, word_bounds
@@ -37,7 +38,7 @@ from tracklake.llm.graph import components
 from tracklake.session import stage
 
 WORDS = 5
-ROWS, BANDS = 3, 14
+ROWS, BANDS = 3, 20
 SIMILARITY = 0.8
 DAMP, SAMPLED = 0.05, 0.25
 BUCKET_BITS, BLOCK_BITS = 20, 14
@@ -46,11 +47,9 @@ ODD = np.uint64(0x9E3779B97F4A7C15)
 PIVOTS = 2
 LARGE = 16
 BLOCK = 512
-# Of 42 samples; a pair with similarity 0.8 agrees in 34, and in fewer than 12 practically never, also
+# Of 60 samples; a pair with similarity 0.8 agrees in 48, and in fewer than 16 practically never, also
 # where a group of a third of all documents makes the sampled weights of common shingles small.
-LEAST_AGREED = 12
-# Members first tried for each borderline document; the rest follow if it is still apart.
-FIRST_TRIED = 8
+LEAST_AGREED = 16
 
 
 def shingles(rolling: Rolling, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -247,35 +246,43 @@ def pivots_of(todo: DataFrame, samples: DataFrame) -> DataFrame:
     return sizes.join(best, "key", "left").select("key", F.coalesce("central", "least").alias("pivot"))
 
 
-def agreeing(todo: DataFrame, samples: DataFrame) -> DataFrame:
-    """Pairs (a, b) of documents of the same bucket that agree in enough samples.
+def blocks_of(members: DataFrame, samples: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, block, docs) of members (key, doc): about BLOCK documents each, with samples and sets."""
+    sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    placed = members.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
+    full = placed.join(samples, "doc").join(sets, "doc")
+    docs = F.collect_list(F.struct("doc", "samples", "keys", "weights")).alias("docs")
+    return full.groupBy("key", "block").agg(docs)
 
-    Buckets are cut into blocks of about BLOCK documents; a task holds two blocks.
+
+def linked_blocks(left: DataFrame, right: DataFrame, samples: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between the members (key, doc) of left and of right that have the same key.
+
+    A task holds two blocks, and compares the sets of those that agree in enough samples.
     """
-    sizes = todo.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    placed = todo.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
-    sampled = placed.join(samples, "doc")
-    blocks = stage(
-        sampled.groupBy("key", "block", "blocks").agg(F.collect_list(F.struct("doc", "samples")).alias("docs")), "blocks"
-    )
-    left = blocks.select("key", F.col("docs").alias("a"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("block"))
-    pairs = left.join(blocks.select("key", "block", F.col("docs").alias("b")), ["key", "block"]).select("a", "b")
+    a = stage(blocks_of(left, samples, sets), "blocks").select("key", F.col("docs").alias("a"))
+    b = stage(blocks_of(right, samples, sets), "blocks").select("key", F.col("docs").alias("b"))
+    pairs = a.join(b, "key").select("a", "b")
 
     def run(batches):
-        def read(column):
-            docs, samples = column.values.field(0).to_numpy(), column.values.field(1).flatten().to_numpy()
-            return column.offsets.to_numpy(), docs, samples.reshape(-1, ROWS * BANDS)
+        def read(cell):
+            docs = cell.values
+            view = lambda k, kind: [np.frombuffer(x.as_buffer(), kind) for x in docs.field(k)]
+            each = docs.field(1).flatten().to_numpy().reshape(-1, ROWS * BANDS)
+            return docs.field(0).to_numpy(), each, view(2, np.uint64), view(3, np.float32)
 
         for batch in batches:
-            (at_a, docs_a, a), (at_b, docs_b, b) = (read(c) for c in batch.columns)
             for i in range(batch.num_rows):
-                x, y = slice(at_a[i], at_a[i + 1]), slice(at_b[i], at_b[i + 1])
-                agreed = np.zeros((x.stop - x.start, y.stop - y.start), np.uint8)
+                (x, x_samples, *x_sets), (y, y_samples, *y_sets) = (read(c[i]) for c in batch.columns)
+                agreed = np.zeros((len(x), len(y)), np.uint8)
                 for k in range(ROWS * BANDS):
-                    agreed += a[x, k, None] == b[None, y, k]
-                u, v = np.nonzero(agreed >= LEAST_AGREED)
-                u, v = docs_a[x][u], docs_b[y][v]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)[u != v]), pa.array(np.maximum(u, v)[u != v])], names=["a", "b"])
+                    agreed += x_samples[:, k, None] == y_samples[None, :, k]
+                u, v = np.nonzero((agreed >= LEAST_AGREED) & (x[:, None] != y[None, :]))
+                found = [
+                    (min(x[p], y[q]), max(x[p], y[q])) for p, q in zip(u, v)
+                    if similarity(x_sets[0][p], x_sets[1][p], y_sets[0][q], y_sets[1][q]) >= least
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return pairs.mapInArrow(run, "a long, b long").distinct()
 
@@ -293,26 +300,26 @@ def links(members: DataFrame, samples: DataFrame, sets: DataFrame, least: float)
         found = found.union(sims.where(F.col("sim") >= least).select("a", "b"))
         judged_all = judged if judged_all is None else judged_all.union(judged)
         todo = judged.where(F.col("sim") < least).select("key", F.col("b").alias("doc"))
-    found = found.union(stage(compare(agreeing(todo, samples), sets), "compared").where(F.col("sim") >= least).select("a", "b"))
+    sizes = todo.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    sized = stage(todo.join(sizes, "key"), "left-over")
+    few = sized.where(F.col("n") < LARGE).select("key", "doc")
+    pairs = few.withColumnRenamed("doc", "a").join(few.withColumnRenamed("doc", "b"), "key").where("a < b").select("a", "b").distinct()
+    found = found.union(stage(compare(pairs, sets), "compared").where(F.col("sim") >= least).select("a", "b"))
+    many = sized.where(F.col("n") >= LARGE).select("key", "doc")
+    found = found.union(stage(linked_blocks(many, many, samples, sets, least), "linked"))
     distance = 1 - least
-    near = judged_all.where(F.col("sim") >= least).select(F.col("key").alias("k"), F.col("a").alias("p"), F.col("b").alias("x"), F.col("sim").alias("x_sim"))
-    borderline = judged_all.where((F.col("sim") < least) & (F.col("sim") >= 1 - 2 * distance - 1e-9))
-    for most in (FIRST_TRIED, None):
-        if borderline.isEmpty():
-            break
-        of = stage(components(found), "components")
-        node = lambda c: of.select(F.col("node").alias(f"n_{c}"), F.col("component").alias(f"c_{c}"))
-        placed = borderline.join(node("a"), F.col("a") == F.col("n_a"), "left").join(node("b"), F.col("b") == F.col("n_b"), "left")
-        apart = F.coalesce("c_a", "a") != F.coalesce("c_b", "b")
-        borderline = stage(placed.where(apart).select("key", "a", "b", "sim"), "apart")
-        pairs = borderline.join(near, (F.col("key") == F.col("k")) & (F.col("a") == F.col("p"))).where(
-            (F.col("sim") + distance + 1e-9 >= F.col("x_sim")) & (F.col("b") != F.col("x"))
-        )
-        if most:
-            nearest = Window.partitionBy("key", "a", "b").orderBy(F.abs(F.col("sim") - F.col("x_sim")), "x")
-            pairs = pairs.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= most)
-        pairs = pairs.select(F.least("b", "x").alias("a"), F.greatest("b", "x").alias("b")).distinct()
-        found = found.union(stage(compare(pairs, sets), "compared").where(F.col("sim") >= least).select("a", "b"))
+    seen = stage(judged_all.select("a", "b", "sim").distinct(), "seen")
+    near = seen.where(F.col("sim") >= least).select(F.col("a").alias("p"), F.col("b").alias("x"), F.col("sim").alias("x_sim"))
+    borderline = seen.where((F.col("sim") < least) & (F.col("sim") >= 1 - 2 * distance - 1e-9))
+    of = stage(components(found), "components")
+    node = lambda c: of.select(F.col("node").alias(f"n_{c}"), F.col("component").alias(f"c_{c}"))
+    placed = borderline.join(node("a"), F.col("a") == F.col("n_a"), "left").join(node("b"), F.col("b") == F.col("n_b"), "left")
+    apart = stage(placed.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b", "sim"), "apart")
+    # Whoever is in another class than a pivot near it is compared with the pivot's own that are near enough.
+    farthest = apart.groupBy("a").agg((F.max("sim") + distance + 1e-9).alias("most"))
+    own = near.join(farthest, F.col("p") == F.col("a")).where("x_sim <= most").select(F.col("a").alias("key"), F.col("x").alias("doc"))
+    others = apart.select(F.col("a").alias("key"), F.col("b").alias("doc"))
+    found = found.union(stage(linked_blocks(others, own, samples, sets, least), "linked"))
     return found
 
 
