@@ -11,10 +11,11 @@ equal strings of `least` bytes have the same anchor in their first window, at th
    have the same context.
 3. The phrases from these anchors on are put in suffix order (see suffix_order), and adjacent suffixes
    are compared: neighbours share the most phrases. That gives the last start that may repeat.
-4. The strings at these starts are spelled out, and compared by 128-bit hashes.
+4. The strings at these starts are spelled out, and compared by 128-bit hashes: first, for every STEP
+   starts, the string that all of theirs contain, then those whose shared string stands twice.
 
 So rows are spelled out around the ends of repeats only. Texts are kept in a table bucketed by row,
-which the four passes join without moving it.
+which the five passes join without moving it.
 
 Defined results: texts count as UTF-8 bytes, a null text is empty; texts shorter than `least` lose
 nothing, and no match crosses documents. Rows are told apart even if ids repeat or are null: a document
@@ -35,6 +36,7 @@ from tracklake.session import scratch_path, stage
 
 LEAST = 400
 WINDOW, GRAM = 160, 16
+STEP = 20
 POSITION_BITS = np.uint64(24)
 SLICE = 2 << 20
 
@@ -149,14 +151,14 @@ def stretch_rows(texts: DataFrame, chosen: DataFrame, least: int) -> DataFrame:
     return texts.join(chosen, "rid").select("rid", "text", "wanted").mapInArrow(run, schema)
 
 
-ROW = "rid long, i int, run int, sym long, len long, candidate boolean, cores array<long>, nexts array<int>"
+ROW = "rid long, i int, run int, at int, sym long, len long, candidate boolean, cores array<long>, nexts array<int>"
 
 
 def phrase_rows(texts: DataFrame, chosen: DataFrame, least: int) -> DataFrame:
     """A row for each chosen anchor, and for those that its cores reach.
 
     A core is a sequence of whole phrases from the anchor on that a string may hold. cores: their
-    hashes, the shortest first; nexts: the anchors at which the second and later ones end.
+    hashes, the shortest first; nexts: the anchors at which the second and later ones end; at: the anchor.
     """
 
     def run(batches):
@@ -191,7 +193,7 @@ def phrase_rows(texts: DataFrame, chosen: DataFrame, least: int) -> DataFrame:
             at_next = np.concatenate([[0], np.cumsum(np.maximum(n_cores - 1, 0))])
             i32 = lambda x: pa.array(x.astype(np.int32))
             columns = [
-                pa.array(rows.column(0).to_numpy()[doc]), i32(used - begin[doc]), i32(run), pa.array(sym), pa.array(end - a.at[used]), pa.array(candidate),
+                pa.array(rows.column(0).to_numpy()[doc]), i32(used - begin[doc]), i32(run), i32(a.at[used] - offsets[doc]), pa.array(sym), pa.array(end - a.at[used]), pa.array(candidate),
                 pa.ListArray.from_arrays(at_core.astype(np.int32), pa.array(cores)),
                 pa.ListArray.from_arrays(at_next.astype(np.int32), i32((a.at[core_end] - base)[step > 0])),
             ]
@@ -226,8 +228,12 @@ def shared_cores(phrases: DataFrame, least: int) -> DataFrame:
     return joined.select("rid", "i", shared.alias("shared"))
 
 
-def spelled(texts: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
-    """(h1, h2, rid, start) for every start from low to high of the wanted ranges."""
+def spelled(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """(h1, h2, rid, start, low, top): hashes of strings of this length at the places of each range.
+
+    wanted: (rid, low, top, first, last, step); places go from first to last by step.
+    """
+    schema = "h1 long, h2 long, rid long, start int, low int, top int"
 
     def run(batches):
         hashes = Hashes()
@@ -236,25 +242,29 @@ def spelled(texts: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
             lists = rows.column(2)
             sizes = np.diff(lists.offsets.to_numpy())
             a, b = lists.offsets[0].as_py(), lists.offsets[-1].as_py()
-            lo, hi = (lists.values.field(k).to_numpy()[a:b].astype(np.int64) for k in (0, 1))
+            low, top, start, last, step = (lists.values.field(k).to_numpy()[a:b].astype(np.int64) for k in range(5))
             doc = np.repeat(np.arange(len(sizes)), sizes)
-            n = hi - lo + 1
+            n = (last - start) // step + 1
             for p in range(0, len(n), 1 << 15):
                 part = slice(p, p + (1 << 15))
                 m = n[part]
-                start = np.arange(m.sum()) + np.repeat(lo[part] - (np.cumsum(m) - m), m)
-                owner = np.repeat(doc[part], m)
-                at = start + offsets[owner]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(hashes.first.of(first, at, at + least).view(np.int64)), pa.array(hashes.second.of(second, at, at + least).view(np.int64)),
-                        pa.array(rows.column(0).to_numpy()[owner]), pa.array(start.astype(np.int32)),
-                    ],
-                    names=["h1", "h2", "rid", "start"],
-                )
+                which = np.repeat(np.arange(len(n))[part], m)
+                place = (np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)) * step[which] + start[which]
+                at = place + offsets[doc[which]]
+                i32 = lambda x: pa.array(x.astype(np.int32))
+                columns = [
+                    pa.array(hashes.first.of(first, at, at + length).view(np.int64)), pa.array(hashes.second.of(second, at, at + length).view(np.int64)),
+                    pa.array(rows.column(0).to_numpy()[doc[which]]), i32(place), i32(low[which]), i32(top[which]),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in schema.split(", ")])
+
+    ranges = wanted.groupBy("rid").agg(F.collect_list(F.struct("low", "top", "first", "last", "step")).alias("ranges"))
+    return texts.join(ranges, "rid").select("rid", "text", "ranges").mapInArrow(run, schema)
 
-    joined = texts.join(wanted, "rid").select("rid", "text", "ranges")
-    return joined.mapInArrow(run, "h1 long, h2 long, rid long, start int")
+
+def standing_twice(rows: DataFrame) -> DataFrame:
+    found = rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2")
+    return rows.join(found, ["h1", "h2"])
 
 
 def repeated_starts(texts: DataFrame, least: int) -> DataFrame:
@@ -272,15 +282,19 @@ def repeated_starts(texts: DataFrame, least: int) -> DataFrame:
     mixed = kinds.groupBy("context").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("context")
     single = stage(kinds.join(mixed, "context").select("one.*"), "mixed-stretches")
     phrases = stage(phrase_rows(texts, single.groupBy("rid").agg(F.collect_list("i").alias("wanted")), least), "phrases")
-    known = phrases.where("candidate").select("rid", "i", "nexts").join(shared_cores(phrases, least), ["rid", "i"])
+    known = phrases.where("candidate").select("rid", "i", "at", "nexts").join(shared_cores(phrases, least), ["rid", "i"])
     # The next core that is not shared ends at an anchor that the string of a start must not hold.
     stop = F.when(F.col("shared") <= F.size("nexts"), F.get("nexts", F.col("shared") - 1) - reach(least)[1] - 1)
-    tops = known.select("rid", "i", stop.alias("stop"))
+    tops = known.select("rid", "i", "at", stop.alias("stop"))
     ranges = single.join(tops, ["rid", "i"]).withColumn("top", F.least("high", "stop")).where("top >= low")
-    ranges = ranges.select("rid", F.struct("low", "top").alias("range"))
-    rows = stage(spelled(texts, ranges.groupBy("rid").agg(F.collect_list("range").alias("ranges")), least), "spelled")
-    found = rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2")
-    single = rows.join(found, ["h1", "h2"]).select("rid", F.col("start").alias("low"), F.col("start").alias("high"))
+    # Starts in the same STEP places before an anchor share a string; where that stands once, none of them repeats.
+    block = lambda c: F.col("at") - F.floor((F.col("at") - F.col(c)) / STEP) * STEP
+    by_block = ranges.select("rid", "low", "top", block("low").alias("first"), block("top").alias("last"), F.lit(STEP).alias("step"))
+    rough = standing_twice(stage(spelled(texts, by_block, least - STEP + 1), "blocks-of-starts"))
+    fine = rough.select("rid", F.greatest("low", F.col("start") - STEP + 1).alias("low"), F.least("top", "start").alias("top"))
+    by_start = fine.select("rid", "low", "top", F.col("low").alias("first"), F.col("top").alias("last"), F.lit(1).alias("step"))
+    rows = stage(spelled(texts, by_start, least).select("h1", "h2", "rid", "start"), "spelled")
+    single = standing_twice(rows).select("rid", F.col("start").alias("low"), F.col("start").alias("high"))
     return whole.union(single)
 
 
