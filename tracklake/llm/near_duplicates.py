@@ -12,9 +12,8 @@ a sample with the probability of their weighted Jaccard similarity. Equal bands
 similarity of 0.8, all bands of a pair differ once in a million pairs, above that less often.
 
 Documents with the same sequence of words are one class from the start, and one of them stands for it.
-Within a bucket of candidates pairs are not listed. All members are compared with a pivot, and those not linked
-to it with a second one. A pivot is the least member of a small bucket; in one of LARGE members and more, it is the
-one that agrees most with the most common samples, the text that near copies were made from, if it is
+Within a bucket of candidates pairs are not listed. All members are compared with a pivot. It is the least
+member of a small bucket; in one of LARGE members and more, it is the one that agrees most with the most common samples, the text that near copies were made from, if it is
 there. What is then left of a small bucket is
 compared in pairs; of a large one, in blocks, two to a task, which hand on their links alone: pairs that agree in LEAST_AGREED
 samples are compared by their sets. One
@@ -44,7 +43,6 @@ DAMP, SAMPLED = 0.05, 0.25
 BUCKET_BITS, BLOCK_BITS = 20, 14
 RANDOM_BITS = 14
 ODD = np.uint64(0x9E3779B97F4A7C15)
-PIVOTS = 2
 LARGE = 16
 BLOCK = 512
 # Of 60 samples; a pair with similarity 0.8 agrees in 48, and in fewer than 16 practically never, also
@@ -238,10 +236,12 @@ def pivots_of(todo: DataFrame, samples: DataFrame) -> DataFrame:
     sizes = stage(sizes, "bucket-sizes")
     large = todo.join(sizes.where(F.col("n") >= LARGE).select("key"), "key")
     sampled = stage(large.join(samples, "doc"), "large-buckets")
-    common = [F.expr(f"approx_top_k(samples[{k}], 1, 64)[0].item") for k in range(ROWS * BANDS)]
+    looked_at = range(0, ROWS * BANDS, ROWS)  # one sample of each band
+    common = [F.expr(f"approx_top_k(samples[{k}], 1, 64)[0].item") for k in looked_at]
     modes = sampled.groupBy("key").agg(*(c.alias(f"m{k}") for k, c in enumerate(common)))
     modes = modes.select("key", F.array(*(f"m{k}" for k in range(len(common)))).alias("modes"))
-    agreed = F.size(F.filter(F.zip_with("samples", "modes", lambda x, y: x == y), lambda x: x))
+    own = F.array(*(F.get("samples", F.lit(k)) for k in looked_at))
+    agreed = F.size(F.filter(F.zip_with(own, "modes", lambda x, y: x == y), lambda x: x))
     best = sampled.join(modes, "key").groupBy("key").agg(F.max_by("doc", F.struct(agreed, -F.col("doc"))).alias("central"))
     return sizes.join(best, "key", "left").select("key", F.coalesce("central", "least").alias("pivot"))
 
@@ -289,17 +289,11 @@ def linked_blocks(left: DataFrame, right: DataFrame, samples: DataFrame, sets: D
 
 def links(members: DataFrame, samples: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b) whose links make the same components as all links within buckets (key, doc)."""
-    spark, todo = members.sparkSession, members
-    found = spark.createDataFrame([], "a long, b long")
-    judged_all = None
-    for _ in range(PIVOTS):
-        pivots = pivots_of(todo, samples)
-        tried = stage(todo.join(pivots, "key").where("doc <> pivot").select("key", F.col("pivot").alias("a"), F.col("doc").alias("b")), "tried")
-        sims = stage(compare(tried.select("a", "b").distinct(), sets), "compared")
-        judged = stage(tried.join(sims, ["a", "b"]), "judged")
-        found = found.union(sims.where(F.col("sim") >= least).select("a", "b"))
-        judged_all = judged if judged_all is None else judged_all.union(judged)
-        todo = judged.where(F.col("sim") < least).select("key", F.col("b").alias("doc"))
+    pivots = pivots_of(members, samples)
+    tried = stage(members.join(pivots, "key").where("doc <> pivot").select("key", F.col("pivot").alias("a"), F.col("doc").alias("b")), "tried")
+    seen = stage(compare(tried.select("a", "b").distinct(), sets), "compared")
+    found = seen.where(F.col("sim") >= least).select("a", "b")
+    todo = tried.join(seen, ["a", "b"]).where(F.col("sim") < least).select("key", F.col("b").alias("doc"))
     sizes = todo.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     sized = stage(todo.join(sizes, "key"), "left-over")
     few = sized.where(F.col("n") < LARGE).select("key", "doc")
@@ -308,7 +302,6 @@ def links(members: DataFrame, samples: DataFrame, sets: DataFrame, least: float)
     many = sized.where(F.col("n") >= LARGE).select("key", "doc")
     found = found.union(stage(linked_blocks(many, many, samples, sets, least), "linked"))
     distance = 1 - least
-    seen = stage(judged_all.select("a", "b", "sim").distinct(), "seen")
     near = seen.where(F.col("sim") >= least).select(F.col("a").alias("p"), F.col("b").alias("x"), F.col("sim").alias("x_sim"))
     borderline = seen.where((F.col("sim") < least) & (F.col("sim") >= 1 - 2 * distance - 1e-9))
     of = stage(components(found), "components")
