@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.samples import words
-from tracklake.llm import mixing, near_duplicates, pieces, suffix_order, token_files, toxicity
+from tracklake.llm import mixing, near_duplicates, pieces, repeats, suffix_order, token_files, toxicity
 from tracklake.llm.batches import Rolling, word_bounds
 from tracklake.llm.graph import components
 from tracklake.llm.language import Filters
@@ -165,3 +165,22 @@ def test_kernel_tolerates_gaps_and_inserted_letters():
     tried = ["what an id-iot he is", "what an i d i o t he is", "what an idxiot he is", "what a friend he is"]
     scores = machine.documents(*packed(tried))
     assert scores[:3].min() > scores[3] + 0.2
+
+
+def test_repeats_after_16_mib_of_one_text(spark):
+    rng = np.random.default_rng(7)
+    letters = lambda n: (rng.integers(0, 26, n, dtype=np.uint8) + 97).tobytes().decode()
+    again, size = letters(500), (16 << 20) + 5000
+    text = letters(size) + again + letters(3000) + again + letters(2000)
+    docs = spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in repeats.without_repeats(docs).drop("kept").collect()}
+    assert (got[1]["n_bytes"], got[1]["n_removed"], got[1]["n_spans"], got[2]["n_removed"]) == (len(text), 1000, 2, 0)
+
+
+def test_least_hashes_of_windows():
+    rng = np.random.default_rng(8)
+    for n in (repeats.WINDOW, 1000, 5003):
+        grams = rng.integers(0, 50, n, dtype=np.uint64)  # with ties
+        starts = np.arange(n - repeats.WINDOW + 1)
+        want = [i + int(np.argmin(grams[i : i + repeats.WINDOW])) for i in starts]
+        assert repeats.leftmost_least(grams, starts).tolist() == want

@@ -37,10 +37,31 @@ from tracklake.session import scratch_path, stage
 LEAST = 400
 WINDOW, GRAM = 160, 16
 STEP = 20
-POSITION_BITS = np.uint64(24)
 SLICE = 2 << 20
 
 
+def leftmost_least(grams: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Place of the least hash, and of equal ones the first, in the window of each start.
+
+    A window is the end of one block and the beginning of the next. Places are kept beside the hashes
+    and not in their bits, so that they hold for texts of any length.
+    """
+    blocks = -(-len(grams) // WINDOW)
+    padded = np.full(blocks * WINDOW, ~np.uint64(0))
+    padded[: len(grams)] = grams
+    shaped = padded.reshape(blocks, WINDOW)
+    place = np.arange(blocks * WINDOW).reshape(blocks, WINDOW)
+    least = np.minimum.accumulate(shaped, axis=1)
+    new = np.ones(shaped.shape, bool)
+    new[:, 1:] = shaped[:, 1:] < least[:, :-1]
+    left = np.maximum.accumulate(np.where(new, place, 0), axis=1).ravel()
+    # From the right an equal hash is a new least: it stands further left.
+    least = np.minimum.accumulate(shaped[:, ::-1], axis=1)[:, ::-1]
+    right = np.minimum.accumulate(np.where(shaped == least, place, blocks * WINDOW)[:, ::-1], axis=1)[:, ::-1].ravel()
+    a, b = right[starts], left[starts + WINDOW - 1]
+    return np.where(padded[b] < padded[a], b, a)
+
+
 class Anchors:
     """Anchors of the texts of a slice, and which starts belong to each."""
 
@@ -56,15 +77,7 @@ class Anchors:
             return
         place = np.arange(n)
         grams = hashes.first.of(self.prefix, place, place + GRAM)
-        mask = (np.uint64(1) << POSITION_BITS) - np.uint64(1)
-        key = (grams & ~mask) | place.astype(np.uint64)
-        blocks = -(-n // WINDOW)
-        padded = np.full(blocks * WINDOW, ~np.uint64(0))
-        padded[:n] = key
-        shaped = padded.reshape(blocks, WINDOW)
-        left = np.minimum.accumulate(shaped, axis=1).ravel()
-        right = np.minimum.accumulate(shaped[:, ::-1], axis=1)[:, ::-1].ravel()
-        chosen = (np.minimum(right[starts], left[starts + WINDOW - 1]) & mask).astype(np.int64)
+        chosen = leftmost_least(grams, starts)
         self.at = np.unique(chosen)  # ascending, so by document
         self.doc = np.searchsorted(offsets, self.at, "right") - 1
         # Starts of strings that end within their document, and the anchor of each.
