@@ -184,3 +184,21 @@ def test_least_hashes_of_windows():
         starts = np.arange(n - repeats.WINDOW + 1)
         want = [i + int(np.argmin(grams[i : i + repeats.WINDOW])) for i in starts]
         assert repeats.leftmost_least(grams, starts).tolist() == want
+
+
+def test_samples_in_a_group_of_a_third_follow_the_deciding_similarity():
+    own, bits = near_duplicates.Rolling(23), 64 - near_duplicates.BUCKET_BITS
+    agreed, decided = [], []
+    for seed in range(60):
+        base = words(400, seed, 10**6).split()
+        data, offsets = packed([" ".join(base), " ".join(base[:361] + words(39, seed + 1000, 10**6).split())])
+        h, bounds, _ = near_duplicates.shingles(own, data, offsets)
+        rarity = np.full(1 << near_duplicates.BUCKET_BITS, 2.0**20 / 400)
+        rarity[(np.intersect1d(h[: bounds[1]], h[bounds[1] :]) >> np.uint64(bits)).astype(np.int64)] = 3
+        sampler = near_duplicates.Sampler(rarity)
+        keys, weight, at = sampler.weighted(h, bounds, sampler.sampled)
+        _, each = sampler.samples(keys, weight, at)
+        agreed.append((each[0] == each[1]).mean())
+        weight = sampler.weighted(h, bounds, sampler.compared)[1]
+        decided.append(near_duplicates.similarity(keys[: at[1]], weight[: at[1]], keys[at[1] :], weight[at[1] :]))
+    assert 0.74 < np.mean(decided) < 0.84 and abs(np.mean(agreed) - np.mean(decided)) < 0.03

@@ -2,10 +2,9 @@
 
 A document is the weighted set of its five-word shingles, weight (1 + DAMP ln tf)(1 + d ln(N/df)). Both parts
 are damped: with plain weights the shingles of a large group of near copies would count for little beside
-each copy's own changes, and a repeated line would outweigh a text. For similarity d is DAMP; samples
-are drawn with d = SAMPLED, so that passages in many documents become samples more seldom, while
-copies within a group of a third of all documents still share most samples. Document frequencies are
-counted over all documents, in 2**20 buckets of shingle hashes, a table of fixed size.
+each copy's own changes, and a repeated line would outweigh a text. Samples are drawn with the weights
+that decide similarity, d = DAMP, so how often a pair becomes candidates depends on its similarity alone, however large
+its group is. Document frequencies are counted over all documents, in 2**20 buckets of shingle hashes, a table of fixed size.
 
 Improved consistent weighted sampling gives ROWS x BANDS samples per document; two documents agree in
 a sample with the probability of their weighted Jaccard similarity. Equal bands make candidates. At a
@@ -39,14 +38,13 @@ from tracklake.session import stage
 WORDS = 5
 ROWS, BANDS = 3, 20
 SIMILARITY = 0.8
-DAMP, SAMPLED = 0.05, 0.25
+DAMP = 0.05
 BUCKET_BITS, BLOCK_BITS = 20, 14
 RANDOM_BITS = 14
 ODD = np.uint64(0x9E3779B97F4A7C15)
 LARGE = 16
 BLOCK = 512
-# Of 60 samples; a pair with similarity 0.8 agrees in 48, and in fewer than 16 practically never, also
-# where a group of a third of all documents makes the sampled weights of common shingles small.
+# Of 60 samples; a pair with similarity 0.8 agrees in 48, and in fewer than 16 practically never.
 LEAST_AGREED = 16
 
 
@@ -113,7 +111,8 @@ class Sampler:
     """Weighted sets of documents and their samples."""
 
     def __init__(self, rarity: np.ndarray):
-        self.sampled, self.compared = ((1 + damp * np.log(rarity)).astype(np.float32) for damp in (SAMPLED, DAMP))
+        # One kind of weights: with others, the loss of candidates would not follow from the similarity.
+        self.sampled = self.compared = (1 + DAMP * np.log(rarity)).astype(np.float32)
         rng = np.random.default_rng(29)
         shape = (ROWS * BANDS, 1 << RANDOM_BITS)
         self.r = rng.gamma(2, 1, shape).astype(np.float32)
