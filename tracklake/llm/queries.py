@@ -3,7 +3,9 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklake.llm import language, line_dedup, mixing, near_duplicates, pieces, quality_rules, repeats, token_files, topk, toxicity
+from tracklake.llm import (
+    hard_negatives, language, line_dedup, mixing, near_duplicates, pieces, quality_rules, repeats, token_files, topk, toxicity,
+)
 from tracklake.llm.tables import read
 
 QUERIES = {}
@@ -144,3 +146,27 @@ from s qualify rank <= 20
 """)
 def op10_pivot_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top(read(spark, folder, "embeddings"), F.col("id") % 20 == 0)
+
+
+@query("""
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                  list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+           where label is not null and embedding is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same,
+             list_sum(list_transform(list_zip(a.v, c.v), lambda z: z[1] * z[2]))::bigint as score
+      from v a join v c on a.vec_id <> c.vec_id where a.vec_id % 100 = 0),
+p as (select anchor_id, vec_id as positive_id, score as positive_score,
+             row_number() over (partition by anchor_id order by score desc, vec_id)::int as positive_rank
+      from s where same qualify positive_rank <= 5)
+select p.anchor_id, positive_id,
+       row_number() over (partition by p.anchor_id, positive_rank order by score desc, vec_id)::int as rank,
+       vec_id as negative_id, positive_score, score as negative_score, positive_rank
+from p join s on p.anchor_id = s.anchor_id and not same
+     and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+qualify rank <= 5
+""")
+def op11_subset_sum_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read(spark, folder, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", shifted), F.col("id") % 100 == 0)
