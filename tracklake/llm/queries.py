@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklake.llm import (
-    hard_negatives, language, line_dedup, mixing, near_duplicates, pieces, quality_rules, repeats, token_files, topk, toxicity,
+    hard_negatives, language, line_dedup, mixing, near_duplicates, pieces, quality_rules, repeats, token_files, topk, toxicity, vector_links,
 )
 from tracklake.llm.tables import read
 
@@ -170,3 +170,20 @@ def op11_subset_sum_negatives(spark: SparkSession, folder: str) -> DataFrame:
     rows = read(spark, folder, "embeddings")
     shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(rows.withColumn("label", shifted), F.col("id") % 100 == 0)
+
+
+@query("""
+with recursive u as (select vec_id, list_transform(embedding, lambda x: x::double) as v from embeddings
+           where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+             and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l as (select a.vec_id as a, b.vec_id as b from u a join u b on a.vec_id <> b.vec_id
+      where list_cosine_similarity(a.v, b.v) >= 0.95),
+r(a, b) as (select a, b from l union select r.a, l.b from r join l on r.b = l.a),
+c as (select a, least(a, min(b)) as component_id from r group by a),
+k as (select a, count(*) as n from l group by a)
+select vec_id, coalesce(n, 0)::bigint as n_links, coalesce(component_id, vec_id) as component_id,
+       coalesce(component_id, vec_id) = vec_id as kept
+from embeddings left join c on vec_id = c.a left join k on vec_id = k.a
+""")
+def op13_quantised_links(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_links.classes(read(spark, folder, "embeddings"))
