@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklake.llm import (
-    hard_negatives, language, line_dedup, mixing, near_duplicates, pieces, quality_rules, repeats, token_files, topk, toxicity, vector_links,
+    hard_negatives, language, lexical, line_dedup, mixing, near_duplicates, pieces, quality_rules, repeats, token_files, topk, toxicity,
+    vector_links,
 )
 from tracklake.llm.tables import read
 
@@ -172,6 +173,26 @@ def op11_subset_sum_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.mine(rows.withColumn("label", shifted), F.col("id") % 100 == 0)
 
 
+@query(r"""
+with t as (select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ws from benchmark),
+i as (select item_id, unnest(list_distinct(ws)) as term from t),
+d as (select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ws from documents),
+s as (select count(*)::bigint as n, sum(len(ws))::bigint as l from d where len(ws) > 0),
+p as (select doc_id, 10 + (90 * len(ws) * s.n) // s.l as m, unnest(ws) as term from d, s),
+f as (select doc_id, m, term, count(*) as tf from p where term in (select term from i) group by all),
+w as (select term, floor(1000 * ln((2 * n + 2) / (2 * df + 1)::double))::bigint as w
+      from (select term, count(*) as df from f group by term), s),
+r as (select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+      from i join w on i.term = w.term join f on i.term = f.term group by item_id, doc_id)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+from r where score > 0 qualify rank <= 10
+""")
+def op12_trie_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 @query("""
 with recursive u as (select vec_id, list_transform(embedding, lambda x: x::double) as v from embeddings
            where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
