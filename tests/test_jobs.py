@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from tracklake.operators import reports
 from tracklake.plans.clean import clean
 from tracklake.plans.load import import_clean, read_clean, run, validate_import
-from tracklake.plans.remove import delete_study, extract_study
+from tracklake.plans.remove import delete_counts, delete_study, extract_study, split_for_delete
 from tracklake.schema import ENTITIES, EVENT_STATS_SCHEMA
 from tracklake.session import scratch_path
-from tracklake.sources import lookup, raw, tables
+from tracklake.sources import files, lookup, raw, tables
 
 
 @pytest.fixture(scope="module")
@@ -221,3 +221,52 @@ def test_totals_reported_and_computed(raw_tables, cleaned):
         "2020-01-01 00:00:00.000", "2020-01-05 10:00:00.001",
     )
     assert lines[(3000, "number_of_individuals")] == ("2", None)
+
+
+def test_a_bad_file_fails_its_study_alone(spark, tmp_path):
+    """Study 2000 has a header without a key, study 1000 one in another order."""
+    root = fixtures.write(tmp_path / "csv", fixtures.three_studies())
+    tag = tmp_path / "csv" / "2000" / "raw" / "tag.csv"
+    tag.write_text(tag.read_text().replace("id,local_identifier", "key,local_identifier", 1))
+    sensor = tmp_path / "csv" / "1000" / "raw" / "sensor.csv"
+    lines = [",".join(reversed(line.split(","))) for line in sensor.read_text().split("\n")]
+    sensor.write_text("\n".join(lines))
+    clean_root, db = str(tmp_path / "clean"), str(tmp_path / "db")
+    status = {tuple(r) for r in run(spark, root, clean_root, db, "civ").collect()}
+    assert status == {
+        (1000, "clean", "success"), (2000, "clean", "fail"), (3000, "clean", "fail"),
+        (1000, "import", "success"), (1000, "validate", "success"),
+    }
+    assert tables.read_table(spark, db, "sensor").count() == 2
+
+
+@pytest.mark.parametrize("file_format", ["csv", "parquet"])
+def test_no_study_passes(spark, tmp_path, file_format):
+    root = fixtures.write(tmp_path / "csv", {3000: fixtures.three_studies()[3000]})
+    clean_root, db = str(tmp_path / "clean"), str(tmp_path / "db")
+    status = run(spark, root, clean_root, db, "civ", file_format=file_format)
+    assert {tuple(r) for r in status.collect()} == {(3000, "clean", "fail")}
+    assert all(df.isEmpty() for df in tables.read_tables(spark, db).values())
+
+
+def test_cleaning_tells_problems_and_totals(spark, tmp_path):
+    studies = fixtures.three_studies()
+    studies[1000]["event"] = [*studies[1000]["event"], fixtures.event(1, 1001, 1011, "noon"), "1,2,3"]
+    root = fixtures.write(tmp_path / "csv", studies)
+    found = files.read_files(spark, files.list_raw(spark, root))
+    done = clean(found.tables, problems=found.problems)
+    lost = {(r.study_id, r.entity, r.kind, r.column, r.num) for r in done.problems.collect()}
+    assert lost == {(1000, "event", "value", "timestamp", 1), (1000, "event", "line", None, 1)}
+    assert (1000, "malformed", 1) in {tuple(r) for r in done.rejects.collect()}
+    totals = {(r.study_id, r.metric): (r.reported, r.computed) for r in done.totals.collect()}
+    assert totals[(1000, "number_of_deployed_locations")] == ("11", "3")
+    assert done.tables["event"].where("study_id = 1000").count() == 3
+
+
+def test_extract_takes_what_delete_takes(spark, cleaned):
+    """An event of the study without an individual goes with it."""
+    lone = cleaned.tables["event"].limit(1).withColumn("individual_id", F.lit(None).cast("bigint")).withColumn("study_id", F.lit(2000).cast("bigint"))
+    db = {**cleaned.tables, "event": cleaned.tables["event"].unionByName(lone)}
+    taken = counts(extract_study(db, 2000))
+    deleted = {r.entity: r.num for r in delete_counts(split_for_delete(db, 2000)).collect()}
+    assert taken == deleted and taken["event"] == 4

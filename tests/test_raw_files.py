@@ -2,7 +2,7 @@ import fixtures
 import pytest
 
 from tracklake import schema
-from tracklake.sources import lookup, raw
+from tracklake.sources import files, lookup, raw
 
 
 @pytest.fixture
@@ -127,3 +127,48 @@ def test_old_headers_of_the_web_export(spark, tmp_path):
     row = raw.read_ui_events(spark, str(path)).first()
     assert (row.event_id, row.lon, row.lat, row.visible) == (1, 1.5, 2.5, True)
     assert row.manually_marked_outlier is None and row.tag_local_identifier == "T1"
+
+
+def test_first_lines_and_places(spark, root, tmp_path):
+    listed = files.list_raw(spark, root)
+    assert listed.count() == 18
+    lines = files.first_lines(spark, [r.path for r in listed.collect()])
+    assert len(lines) == 18 and all(fixtures.HEADERS[p.split("/")[-1][:-4]] == line for p, line in lines.items())
+    assert files.places("﻿tag_id, id,colour,sensor_type_id", "sensor") == (("tag_id", "id", "", "sensor_type_id"), [], None)
+    assert files.places("tag_id,sensor_type_id", "sensor")[1:] == (["id"], "header")
+    assert files.places("id,id,tag_id,sensor_type_id", "sensor")[2] == "header"
+    assert files.places("", "sensor")[2] == files.places(None, "sensor")[2] == "empty"
+    assert files.list_raw(spark, str(tmp_path / "nothing")).isEmpty()
+
+
+def test_files_with_other_headers_are_read_by_few_scans(spark, tmp_path):
+    """Sixty studies, three orders of columns, one of them with a column that is not known."""
+    heads = ("id,sensor_type_id,tag_id", "tag_id,id,sensor_type_id", "sensor_type_id,note,tag_id,id")
+    lines = ("1,653,7", "7,1,653", "653,x,7,1")
+    for study in range(1, 61):
+        folder = tmp_path / "many" / str(study) / "raw"
+        folder.mkdir(parents=True)
+        (folder / "sensor.csv").write_text(f"{heads[study % 3]}\n{lines[study % 3]}\n")
+    found = files.read_files(spark, files.list_raw(spark, str(tmp_path / "many")))
+    sensor = found.tables["sensor"]
+    assert sensor._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 3
+    rows = files.without_marks(sensor).collect()
+    assert {r.study_id for r in rows} == set(range(1, 61)) and found.problems.where("entity = 'sensor'").isEmpty()
+    assert {(r.sensor_id, r.sensor_type_id, r.tag_id) for r in rows} == {(1, 653, 7)}
+
+
+def test_lost_values_and_broken_lines(spark, tmp_path):
+    for study, text in ((5, "id,sensor_type_id,tag_id\n1,gps,NA\n2,653,x\n3,653\n4,653,9,9\n5,653,8\n"), (6, "\n"), (7, "id,tag_id\n1,2\n")):
+        folder = tmp_path / "bad" / str(study) / "raw"
+        folder.mkdir(parents=True)
+        (folder / "sensor.csv").write_text(text)
+    found = files.read_files(spark, files.list_raw(spark, str(tmp_path / "bad")))
+    sensor = found.tables["sensor"]
+    lost = {(r.study_id, r.kind, r.column, r.num) for r in files.lost_in(sensor, "sensor").collect()}
+    assert lost == {(5, "line", None, 2), (5, "value", "sensor_type_id", 1), (5, "value", "tag_id", 1)}
+    assert sorted(r.line for r in files.lines_in(sensor, "sensor").collect()) == ["3,653", "4,653,9,9"]
+    assert sorted(r.sensor_id for r in files.without_marks(sensor).collect()) == [1, 1, 2, 5]
+    assert {(r.study_id, r.kind, r.column) for r in found.problems.where("entity = 'sensor'").collect()} == {
+        (6, "empty", "id,sensor_type_id,tag_id"), (7, "column", "sensor_type_id"),
+    }
+    assert found.problems.where("kind = 'missing' and study_id = 7").count() == 5

@@ -276,6 +276,12 @@ def taken_keys(new: dict[str, DataFrame], existing: dict[str, DataFrame]) -> Dat
     return all_of(*found)
 
 
+def unreadable_files(problems: DataFrame, fatal: tuple[str, ...]) -> DataFrame:
+    """Files that could not be read at all; problems are those of sources.files."""
+    bad = problems.where(F.col("kind").isin(*fatal) & F.col("study_id").isNotNull())
+    return violation(bad, "raw_file", F.concat_ws("/", "entity", "kind"), F.coalesce("file", F.lit("")))
+
+
 def compare_counts(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Rows per study and table in the files and in the tables, and whether they agree."""
     left = expected.select("study_id", "entity", F.col("num").alias("file_rows"))

@@ -20,11 +20,14 @@ from tracklake.operators.relate import (
     in_deployment,
     reduce_entities,
 )
+from tracklake.operators.reports import compare_totals, computed_totals
 from tracklake.operators.shape import final_event_columns, merge_vendor_columns
 from tracklake.session import stage
+from tracklake.sources import files
 
 UNDEPLOYED = "undeployed"
 DUPLICATE = "duplicate"
+MALFORMED = "malformed"
 
 
 @dataclass
@@ -36,11 +39,19 @@ class Cleaned:
     violations: DataFrame
     failed: DataFrame
     passed: DataFrame
+    # What was lost in reading (see sources.files), and reported against computed totals.
+    problems: DataFrame | None = None
+    totals: DataFrame | None = None
 
 
 def annotate_events(events: DataFrame, deployment: DataFrame, rules: dict, **limits) -> DataFrame:
     """Every raw event with its deployment and the reason it is rejected, if it is."""
-    marked = events.withColumn("reject", first_failing_rule(events, rules))
+    reject = first_failing_rule(events, rules)
+    if "_line" in events.columns:
+        # An event in two deployments is two rows later, but what was lost in it counts once.
+        events = events.withColumn("_row", F.monotonically_increasing_id())
+        reject = F.coalesce(F.when(F.col("_line").isNotNull(), F.lit(MALFORMED)), reject)
+    marked = events.withColumn("reject", reject)
     side = deployment.select(*DEPLOYMENT_KEYS, *DEPLOYMENT_COLUMNS)
     match = in_deployment() & F.col("reject").isNull()
     located = join_facts(marked, side, list(DEPLOYMENT_KEYS), "left", match, **limits)
@@ -56,23 +67,38 @@ def clean(
     check_range: bool = True,
     unit: str | None = "second",
     ties: str = "first",
-    verify: bool = True,
+    verify: bool = False,
+    tolerance: str | None = None,
+    outliers: bool = False,
+    problems: DataFrame | None = None,
 ) -> Cleaned:
     """Filter, reduce, locate in deployments, de-duplicate, check, and leave out bad studies.
 
     `raw` holds the six tables under clean names with a study_id in each. The annotated events
     and the clean events are written to the shared folder once; all checks and counts read the
-    columns they need from there. `verify` counts the groups of the clean events once more.
+    columns they need from there. `verify` counts the groups of the clean events once more, which the
+    totals of de-duplication have told already. `tolerance` and `outliers` are those of the event rules.
+
+    Rows may carry the marks of sources.files; `problems` are those of the files. A study with an unreadable
+    file fails, lost values are counted, and lines with another number of cells are rejected.
     """
-    counted = [c for c in raw["event"].columns if c != "study_id"]
+    counted = [c for c in raw["event"].columns if c not in ("study_id", *files.MARKS)]
+    marked = [e for e, df in raw.items() if set(files.MARKS) <= set(df.columns)]
+    lost = [files.lost_in(raw[e], e) for e in marked if e != "event"]
+    raw = {e: files.without_marks(df) if e in marked and e != "event" else df for e, df in raw.items()}
     individual = keep_allowed_species(raw["individual"], species_pattern, keep_missing_species)
     # Reduced tables are small; only the deployments, read again and again, are written.
     kept = reduce_entities(individual, raw["tag"], raw["sensor"], raw["deployment"])
     deployment = kept["deployment"] = stage(kept["deployment"], "deployment")
 
-    rules = event_rules(as_of, check_range)
+    rules = event_rules(as_of, check_range, tolerance, outliers)
     annotated = stage(annotate_events(raw["event"], deployment, rules), "annotated")
-    deployed = annotated.where(F.col("reject").isNull()).drop("reject")
+    deployed = annotated.where(F.col("reject").isNull()).drop("reject", "_row", *files.MARKS)
+    if "event" in marked:
+        few = annotated.where("_line is not null or _lost <> 0").dropDuplicates(["_row"])
+        lost.append(files.lost_in(few, "event"))
+    if problems is not None or lost:
+        problems = stage(checks.all_of(*([problems] if problems is not None else []), *lost), "problems")
     profile = stage(checks.profile(deployed), "profile")
     groups = stage(duplicate_groups(deployed, KEYS, unit), "groups")
     unique = dedupe_stored(deployed, groups, KEYS, unit, counted=counted, ties=ties)
@@ -95,6 +121,8 @@ def clean(
         checks.studies_without_events(studies, profile),
         checks.dedupe_totals(rows_in, groups, rows_out),
     ]
+    if problems is not None:
+        found.append(checks.unreadable_files(problems, files.FATAL))
     if verify:
         found.append(checks.remaining_duplicates(event, KEYS, unit))
     violations = stage(checks.all_of(*found), "violations")
@@ -103,7 +131,8 @@ def clean(
 
     tables = {"study": raw["study"], **kept, "event": event}
     rejects = reject_counts(annotated, event)
-    return Cleaned(of_studies(tables, passed), rejects, violations, failed, passed)
+    totals = compare_totals(raw["study"], computed_totals(kept["individual"], deployment, event))
+    return Cleaned(of_studies(tables, passed), rejects, violations, failed, passed, problems, totals)
 
 
 def reject_counts(annotated: DataFrame, event: DataFrame) -> DataFrame:

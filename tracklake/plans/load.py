@@ -11,8 +11,8 @@ from tracklake.operators.shape import conform
 from tracklake.plans.clean import clean, of_studies
 from tracklake.schema import ENTITIES, empty_table, table_schema
 from tracklake.session import stage
-from tracklake.sources import lookup, tables
-from tracklake.sources.raw import balanced_by_study, read_clean_csv, read_raw, write_csv
+from tracklake.sources import files, lookup, tables
+from tracklake.sources.raw import balanced_by_study, read_clean_csv, write_csv
 
 STEPS = {"c": "clean", "i": "import", "v": "validate"}
 
@@ -45,7 +45,9 @@ def write_clean(cleaned: dict[str, DataFrame], root: str, file_format: str = "pa
 
 def read_clean(spark: SparkSession, root: str, file_format: str = "parquet") -> dict[str, DataFrame]:
     if file_format == "csv":
-        return {e: read_clean_csv(spark, root, e) for e in ENTITIES}
+        # Where no study has passed there is no file to read.
+        there = {e: files.any_file(spark, f"{root}/{e}/study_id=*") for e in ENTITIES}
+        return {e: read_clean_csv(spark, root, e) if there[e] else empty_table(spark, e) for e in ENTITIES}
     return {e: spark.read.schema(table_schema(e)).parquet(f"{root}/{e}") for e in ENTITIES}
 
 
@@ -123,20 +125,27 @@ def run(
     status_path: str | None = None,
     file_format: str = "parquet",
     dry_run: bool = False,
+    layout: str = "folders",
     **options,
 ) -> DataFrame:
     """The chosen steps for the marked studies. Returns (study_id, step, result).
 
     `raw` is the folder of the raw files, or the raw tables. Steps are letters: c clean,
-    i import, v validate. A study that fails a step takes no part in the next ones.
+    i import, v validate. A study that fails a step takes no part in the next ones. Files are
+    found by a listing and read by their headers; an unreadable one fails its study alone.
     """
     unknown = set(steps) - set(STEPS)
     if unknown:
         raise ValueError(f"unknown steps: {sorted(unknown)}")
     if isinstance(raw, str) and "c" in steps:
-        # The control list is kept by hand; with it only the marked studies' files are opened.
-        marked = None if control is None else [r.study_id for r in control.distinct().collect()]
-        raw = {e: read_raw(spark, raw, e, marked) for e in ENTITIES}
+        listed = files.list_raw(spark, raw, layout)
+        if control is not None:
+            # Only the marked studies' files are opened.
+            marked = listed.join(control.select("study_id"), "study_id", "left_semi")
+            listed = marked.unionByName(listed.where("study_id is null"))
+        read = files.read_files(spark, listed, layout)
+        raw, options["problems"] = read.tables, read.problems
+        control = read.studies if control is None else control
     log = []
     known = isinstance(raw, dict)
     going = control if control is not None else (raw["study"] if known else None)

@@ -15,20 +15,24 @@ BY_STUDY = ("event", "deployment", "individual", "study")
 
 
 def extract_study(db: dict[str, DataFrame], study_id: int) -> dict[str, DataFrame]:
-    """All rows of one study, found through its individuals and their deployments."""
+    """All rows of one study: events by the study they carry, as delete takes them, the rest through its individuals.
+
+    Events without a study are found through the individuals.
+    """
     study = db["study"].where(F.col("study_id") == study_id)
     individual = db["individual"].where(F.col("study_id") == study_id)
     deployment = keep_matching(db["deployment"], individual, ["individual_id"])
     tag = keep_matching(db["tag"], deployment, ["tag_id"])
+    event = of_study(db["event"], study_id)
+    if "study_id" not in event.columns:
+        event = join_facts(event, individual.select("individual_id"), ["individual_id"], "left_semi")
     return {
         "study": study,
         "individual": individual,
         "deployment": deployment,
         "tag": tag,
         "sensor": keep_matching(db["sensor"], tag, ["tag_id"]),
-        "event": join_facts(
-            of_study(db["event"], study_id), individual.select("individual_id"), ["individual_id"], "left_semi"
-        ),
+        "event": event,
     }
 
 

@@ -128,7 +128,7 @@ _OWN = "(select individual_id from m_individual where study_id = 6)"
 
 def _deleted(tags: str) -> str:
     return (
-        f"select 'event' as entity, count(*) as num from m_raw where individual_id in {_OWN} union all "
+        "select 'event' as entity, count(*) as num from m_raw where study_id = 6 union all "
         f"select 'deployment', count(*) from m_deployment where individual_id in {_OWN} union all "
         "select 'individual', count(*) from m_individual where study_id = 6 union all "
         "select 'study', count(*) from m_study where study_id = 6 union all "

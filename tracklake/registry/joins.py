@@ -225,7 +225,7 @@ def sensors_of_study(t: Testbed):
     return extract_study(t.raw, 17)["sensor"].select("sensor_id", "tag_id")
 
 
-@query("K6", "select event_id, e.individual_id from m_raw e where e.individual_id in (select individual_id from m_individual where study_id = 17)")
+@query("K6", "select event_id, individual_id from m_raw where study_id = 17")
 def events_of_study(t: Testbed):
     return extract_study(t.raw, 17)["event"].select("event_id", "individual_id")
 
@@ -237,7 +237,7 @@ def events_of_study(t: Testbed):
     "select 'deployment', count(*) from m_deployment where individual_id in (select individual_id from m_individual where study_id = 17) union all "
     "select 'tag', count(*) from m_tag where tag_id in (select tag_id from m_deployment where individual_id in (select individual_id from m_individual where study_id = 17)) union all "
     "select 'sensor', count(*) from m_sensor where tag_id in (select tag_id from m_deployment where individual_id in (select individual_id from m_individual where study_id = 17)) union all "
-    "select 'event', count(*) from m_raw where individual_id in (select individual_id from m_individual where study_id = 17)",
+    "select 'event', count(*) from m_raw where study_id = 17",
 )
 def rows_of_study(t: Testbed):
     out = None
