@@ -259,7 +259,7 @@ def test_cleaning_tells_problems_and_totals(spark, tmp_path):
     assert lost == {(1000, "event", "value", "timestamp", 1), (1000, "event", "line", None, 1)}
     assert (1000, "malformed", 1) in {tuple(r) for r in done.rejects.collect()}
     totals = {(r.study_id, r.metric): (r.reported, r.computed) for r in done.totals.collect()}
-    assert totals[(1000, "number_of_deployed_locations")] == ("11", "3")
+    assert totals[(1000, "number_of_deployed_locations")] == ("9", "3")
     assert done.tables["event"].where("study_id = 1000").count() == 3
 
 

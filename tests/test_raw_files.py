@@ -132,7 +132,9 @@ def test_old_headers_of_the_web_export(spark, tmp_path):
 def test_first_lines_and_places(spark, root, tmp_path):
     listed = files.list_raw(spark, root)
     assert listed.count() == 18
-    lines = files.first_lines(spark, [r.path for r in listed.collect()])
+    paths = [r.path for r in listed.collect()]
+    lines = files.first_lines(spark, paths)
+    assert files.first_lines(spark, paths[:1], paths[1:3]) == {p: lines[p] for p in paths[:3]}
     assert len(lines) == 18 and all(fixtures.HEADERS[p.split("/")[-1][:-4]] == line for p, line in lines.items())
     assert files.places("﻿tag_id, id,colour,sensor_type_id", "sensor") == (("tag_id", "id", "", "sensor_type_id"), [], None)
     assert files.places("tag_id,sensor_type_id", "sensor")[1:] == (["id"], "header")

@@ -32,6 +32,8 @@ PROBLEM_SCHEMA = "study_id bigint, entity string, file string, kind string, colu
 # Problems that a study cannot be loaded with.
 FATAL = ("empty", "header", "missing")
 SPLIT = 1 << 30
+# Of a file with more bytes only the first line is read for its header.
+LARGE = 16 << 20
 FILE_SCHEMA = "study_id bigint, entity string, path string, size bigint, modified timestamp"
 
 
@@ -61,28 +63,35 @@ def plain_path(path: str) -> str:
     return re.sub(r"^(\w+):///", r"\1:/", unquote(path))
 
 
-def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """First line of each file that has one, from one pass that stops after a line per split.
+def first_lines(spark: SparkSession, paths: list[str], large: list[str] = ()) -> dict[str, str]:
+    """First line of each file that has one; of large files no more than that is read.
 
-    A session of its own holds the settings that put every split into its own task, whatever its size.
+    Small files are read whole, several to a task. Each split of a large file is a task of its own that stops after a
+    line; a session of its own holds the settings for it.
     """
-    own = spark.newSession()
-    own.conf.set("spark.sql.files.maxPartitionBytes", str(SPLIT))
-    own.conf.set("spark.sql.files.openCostInBytes", str(SPLIT + 1))
-    own.conf.unset("spark.sql.files.maxPartitionNum")
-    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    lines = own.read.text(paths).select("_metadata.file_path", "_metadata.file_block_start", "value")
-
-    def first(batches):
-        for batch in batches:
-            if batch.num_rows:
-                if batch.column(1)[0].as_py() == 0:
-                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], names=["path", "line"])
-                return
-
+    found = []
+    if paths:
+        lines = spark.read.text(paths).select("_metadata.file_path", "_metadata.file_block_start", "value").where("file_block_start = 0")
+        # Lines of a split come in their order, and the first split of a file is in one task.
+        found += lines.groupBy("file_path").agg(F.first("value").alias("line")).collect()
+    if large:
+        own = spark.newSession()
+        own.conf.set("spark.sql.files.maxPartitionBytes", str(SPLIT))
+        own.conf.set("spark.sql.files.openCostInBytes", str(SPLIT + 1))
+        own.conf.unset("spark.sql.files.maxPartitionNum")
+        own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+        lines = own.read.text(large).select("_metadata.file_path", "_metadata.file_block_start", "value")
+
+        def first(batches):
+            for batch in batches:
+                if batch.num_rows:
+                    if batch.column(1)[0].as_py() == 0:
+                        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], names=["file_path", "line"])
+                    return
+
+        found += lines.mapInArrow(first, "file_path string, line string").collect()
     # A row per file; the driver holds the list of files as well.
-    found = lines.mapInArrow(first, "path string, line string").collect()
-    return {plain_path(r["path"]): r["line"] for r in found}
+    return {plain_path(r["file_path"]): r["line"] for r in found}
 
 
 def places(line: str | None, entity: str, fields=FIELDS) -> tuple[tuple[str, ...], list[str], str | None]:
@@ -142,8 +151,9 @@ def rename_keeps(entity: str, fields=FIELDS) -> list[str]:
 
 def read_files(spark: SparkSession, files: DataFrame, layout: str = "folders", fields=FIELDS) -> RawFiles:
     """Marked rows of listed files (see list_raw); files whose path names no study are a problem without one."""
-    listed = files.select("study_id", "entity", "path").collect()
-    lines = first_lines(spark, [r["path"] for r in listed]) if listed else {}
+    listed = files.select("study_id", "entity", "path", "size").collect()
+    small, large = ([r["path"] for r in listed if (r["size"] > LARGE) == kind] for kind in (False, True))
+    lines = first_lines(spark, small, large)
     groups: dict[str, dict[tuple, list[str]]] = {e: {} for e in ENTITIES}
     problems = []
     for r in listed:
