@@ -9,7 +9,7 @@ from tracklake.plans.clean import clean
 from tracklake.plans.load import import_clean, read_clean, run, validate_import
 from tracklake.plans.remove import delete_counts, delete_study, extract_study, split_for_delete
 from tracklake.schema import ENTITIES, EVENT_STATS_SCHEMA
-from tracklake.session import scratch_path
+from tracklake.session import scope, scratch_path, stage
 from tracklake.sources import files, lookup, raw, tables
 
 
@@ -270,3 +270,17 @@ def test_extract_takes_what_delete_takes(spark, cleaned):
     taken = counts(extract_study(db, 2000))
     deleted = {r.entity: r.num for r in delete_counts(split_for_delete(db, 2000)).collect()}
     assert taken == deleted and taken["event"] == 4
+
+
+def test_staged_folders_go_with_their_scope(spark):
+    outer = []
+    with scope(spark) as keep:
+        first = stage(spark.range(3), "first")
+        with scope(spark) as keep_inside:
+            second = keep_inside(stage(first.where("id > 0"), "second"))
+            gone = stage(spark.range(1), "gone")
+            outer += [f.inputFiles()[0] for f in (first, second, gone)]
+        assert [tables.exists(spark, f) for f in outer] == [True, True, False]
+        keep(second)
+    assert [tables.exists(spark, f) for f in outer] == [False, True, False]
+    assert second.count() == 2

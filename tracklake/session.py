@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,15 +56,52 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# Folders staged in the open scope, by the frame that reads them.
+_staged: ContextVar[dict[int, str] | None] = ContextVar("staged", default=None)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     The result no longer depends on how it was computed, so losing executors later costs a
-    re-read, and readers take only the columns they need.
+    re-read, and readers take only the columns they need. Within a scope() the folder is removed at its end.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    if (own := _staged.get()) is not None:
+        own[id(out)] = path
+    return out
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scope(spark: SparkSession):
+    """Removes what is staged inside once the block ends, but for the frames given to the function it yields.
+
+    Those stay for the scope around it, or for good. Only frames that were returned by stage() can be kept, and
+    nothing that reads the others may be used later. Shuffle files of finished jobs go with them.
+    """
+    own: dict[int, str] = {}
+    token, kept = _staged.set(own), {}
+
+    def keep(frame: DataFrame) -> DataFrame:
+        kept[id(frame)] = own.pop(id(frame))
+        return frame
+
+    try:
+        yield keep
+    finally:
+        _staged.reset(token)
+        if (around := _staged.get()) is not None:
+            around.update(kept)
+        for path in own.values():
+            remove_folder(spark, path)
+        spark._jvm.System.gc()
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
