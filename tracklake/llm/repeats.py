@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tracklake.llm.batches import Rolling, slices
 from tracklake.llm.suffix_order import ranks, running
-from tracklake.session import scratch_path, stage
+from tracklake.session import scope, scratch_path, stage
 
 LEAST = 400
 WINDOW, GRAM = 160, 16
@@ -282,33 +282,39 @@ def standing_twice(rows: DataFrame) -> DataFrame:
 
 def repeated_starts(texts: DataFrame, least: int) -> DataFrame:
     """(rid, low, high): ranges of starts whose string of `least` bytes stands elsewhere too."""
-    contexts = stage(context_rows(texts.select("rid", "text"), least), "contexts")
-    twice = contexts.groupBy("context").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("context")
-    chosen = contexts.join(twice, "context").groupBy("rid").agg(F.collect_list("i").alias("wanted"))
-    stretches = stage(stretch_rows(texts, chosen, least), "stretches")
-    kinds = stretches.groupBy("context", "u1", "u2").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "i", "low", "high")).alias("one")
-    )
-    kinds = stage(kinds, "stretch-kinds")
-    again = kinds.where("n > 1").select("context", "u1", "u2")
-    whole = stretches.join(again, ["context", "u1", "u2"]).select("rid", "low", "high")
-    mixed = kinds.groupBy("context").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("context")
-    single = stage(kinds.join(mixed, "context").select("one.*"), "mixed-stretches")
-    phrases = stage(phrase_rows(texts, single.groupBy("rid").agg(F.collect_list("i").alias("wanted")), least), "phrases")
-    known = phrases.where("candidate").select("rid", "i", "at", "nexts").join(shared_cores(phrases, least), ["rid", "i"])
-    # The next core that is not shared ends at an anchor that the string of a start must not hold.
-    stop = F.when(F.col("shared") <= F.size("nexts"), F.get("nexts", F.col("shared") - 1) - reach(least)[1] - 1)
-    tops = known.select("rid", "i", "at", stop.alias("stop"))
-    ranges = single.join(tops, ["rid", "i"]).withColumn("top", F.least("high", "stop")).where("top >= low")
-    # Starts in the same STEP places before an anchor share a string; where that stands once, none of them repeats.
-    block = lambda c: F.col("at") - F.floor((F.col("at") - F.col(c)) / STEP) * STEP
-    by_block = ranges.select("rid", "low", "top", block("low").alias("first"), block("top").alias("last"), F.lit(STEP).alias("step"))
-    rough = standing_twice(stage(spelled(texts, by_block, least - STEP + 1), "blocks-of-starts"))
-    fine = rough.select("rid", F.greatest("low", F.col("start") - STEP + 1).alias("low"), F.least("top", "start").alias("top"))
-    by_start = fine.select("rid", "low", "top", F.col("low").alias("first"), F.col("top").alias("last"), F.lit(1).alias("step"))
-    rows = stage(spelled(texts, by_start, least).select("h1", "h2", "rid", "start"), "spelled")
-    single = standing_twice(rows).select("rid", F.col("start").alias("low"), F.col("start").alias("high"))
-    return whole.union(single)
+    spark = texts.sparkSession
+    with scope(spark) as keep:
+        contexts = stage(context_rows(texts.select("rid", "text"), least), "contexts")
+        twice = contexts.groupBy("context").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("context")
+        chosen = contexts.join(twice, "context").groupBy("rid").agg(F.collect_list("i").alias("wanted"))
+        stretches = keep(stage(stretch_rows(texts, chosen, least), "stretches"))
+    with scope(spark) as keep:
+        kinds = stretches.groupBy("context", "u1", "u2").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "i", "low", "high")).alias("one")
+        )
+        kinds = stage(kinds, "stretch-kinds")
+        again = kinds.where("n > 1").select("context", "u1", "u2")
+        whole = keep(stage(stretches.join(again, ["context", "u1", "u2"]).select("rid", "low", "high"), "whole-stretches"))
+        mixed = kinds.groupBy("context").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("context")
+        single = keep(stage(kinds.join(mixed, "context").select("one.*"), "mixed-stretches"))
+    with scope(spark) as keep:
+        phrases = stage(phrase_rows(texts, single.groupBy("rid").agg(F.collect_list("i").alias("wanted")), least), "phrases")
+        known = phrases.where("candidate").select("rid", "i", "at", "nexts").join(shared_cores(phrases, least), ["rid", "i"])
+        # The next core that is not shared ends at an anchor that the string of a start must not hold.
+        stop = F.when(F.col("shared") <= F.size("nexts"), F.get("nexts", F.col("shared") - 1) - reach(least)[1] - 1)
+        tops = known.select("rid", "i", "at", stop.alias("stop"))
+        ranges = keep(stage(single.join(tops, ["rid", "i"]).withColumn("top", F.least("high", "stop")).where("top >= low"), "ranges"))
+    with scope(spark) as keep:
+        # Starts in the same STEP places before an anchor share a string; where that stands once, none of them repeats.
+        block = lambda c: F.col("at") - F.floor((F.col("at") - F.col(c)) / STEP) * STEP
+        by_block = ranges.select("rid", "low", "top", block("low").alias("first"), block("top").alias("last"), F.lit(STEP).alias("step"))
+        rough = keep(stage(standing_twice(stage(spelled(texts, by_block, least - STEP + 1), "blocks-of-starts")), "rough-starts"))
+    with scope(spark) as keep:
+        fine = rough.select("rid", F.greatest("low", F.col("start") - STEP + 1).alias("low"), F.least("top", "start").alias("top"))
+        by_start = fine.select("rid", "low", "top", F.col("low").alias("first"), F.col("top").alias("last"), F.lit(1).alias("step"))
+        rows = stage(spelled(texts, by_start, least).select("h1", "h2", "rid", "start"), "spelled")
+        single = standing_twice(rows).select("rid", F.col("start").alias("low"), F.col("start").alias("high"))
+        return keep(stage(whole.union(single), "starts"))
 
 
 def keep_rest(texts: DataFrame, starts: DataFrame, least: int) -> DataFrame:
@@ -348,7 +354,10 @@ def bucketed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     own = docs.select(F.monotonically_increasing_id().alias("rid"), docs[doc_id].cast("long").alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text"))
     name = f"texts_{uuid.uuid4().hex}"
     own.repartition(n, "rid").write.bucketBy(n, "rid").sortBy("rid").option("path", scratch_path(spark, "texts")).saveAsTable(name)
-    return spark.table(name)
+    table = spark.table(name)
+    # The frame knows its files and buckets by now; the catalog forgets the name, and the files stay.
+    spark.sql(f"drop table {name}")
+    return table
 
 
 def without_repeats(docs: DataFrame, doc_id="doc_id", text="text", least: int = LEAST) -> DataFrame:
@@ -356,4 +365,6 @@ def without_repeats(docs: DataFrame, doc_id="doc_id", text="text", least: int =
     if least < 2 * WINDOW + 2 * GRAM:
         raise ValueError("strings must hold several windows")
     texts = bucketed(docs, doc_id, text)
-    return keep_rest(texts, repeated_starts(texts, least), least)
+    with scope(docs.sparkSession) as keep:
+        starts = keep(repeated_starts(texts, least))
+    return keep_rest(texts, starts, least)
