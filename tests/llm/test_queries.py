@@ -38,9 +38,9 @@ def test_sql(spark, name):
     assert compare.difference(compare.oracle(FOLDER), spark, FOLDER, name, queries.QUERIES, queries.SQL) == ""
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_thirteen_and_the_pipeline_are_registered():
     names = set(entry.queries())
-    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11))
+    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 14))
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
 
 

@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 4 << 20
+# Length of the tables of powers that a worker keeps; longer ones are made for a long text and go after it.
+TABLE_BYTES = 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
@@ -62,8 +64,8 @@ class Rolling:
         self.inverse = np.ones(1, np.uint64)
 
     def _grow(self, n: int) -> None:
-        if len(self.powers) < n:
-            n = max(n, SLICE_BYTES + 1024)
+        if len(self.powers) < n or len(self.powers) > max(n, 4 * TABLE_BYTES):
+            n = max(n, TABLE_BYTES)
             with np.errstate(over="ignore"):
                 for name, base in (("powers", self.base), ("inverse", pow(self.base, -1, 1 << 64))):
                     x = np.full(n, np.uint64(base & 0xFFFFFFFFFFFFFFFF))

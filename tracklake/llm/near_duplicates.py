@@ -43,7 +43,12 @@ BUCKET_BITS, BLOCK_BITS = 20, 14
 RANDOM_BITS = 14
 ODD = np.uint64(0x9E3779B97F4A7C15)
 LARGE = 16
+# Parts of a large bucket that are searched for a pivot on their own.
+PARTS = 16
 BLOCK = 512
+# Bytes of sets in a block, and of text that is hashed at once.
+BLOCK_BYTES = 4 << 20
+SLICE = 1 << 20
 # Of 60 samples; a pair with similarity 0.8 agrees in 48, and in fewer than 16 practically never.
 LEAST_AGREED = 16
 
@@ -69,7 +74,7 @@ def count_buckets(batches):
     """(block, counts) of a task: documents with a shingle in each bucket."""
     rolling, total = Rolling(23), np.zeros(1 << BUCKET_BITS, np.int32)
     seen = False
-    for _, data, offsets in slices(batches, 0):
+    for _, data, offsets in slices(batches, 0, SLICE):
         h, bounds, _ = shingles(rolling, data, offsets)
         bucket = (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
         own = np.unique(np.repeat(np.arange(len(offsets) - 1), np.diff(bounds)) << BUCKET_BITS | bucket)
@@ -173,7 +178,7 @@ def signatures(docs: DataFrame, sampler) -> DataFrame:
 
     def run(batches):
         own = sampler.value
-        for rows, data, offsets in slices(batches, 1):
+        for rows, data, offsets in slices(batches, 1, SLICE):
             h, bounds, (words, at) = shingles(own.rolling, data, offsets)
             bands, each = own.samples(*own.weighted(h, bounds, own.sampled))
             bands = bands.view(np.int64)
@@ -186,17 +191,18 @@ def signatures(docs: DataFrame, sampler) -> DataFrame:
 
 
 def vectors(docs: DataFrame, sampler) -> DataFrame:
-    """(doc, keys, weights) as arrays in binary."""
+    """(doc, keys, weights, size): arrays in binary, and their bytes."""
 
     def run(batches):
         own = sampler.value
-        for rows, data, offsets in slices(batches, 1):
+        for rows, data, offsets in slices(batches, 1, SLICE):
             h, bounds, _ = shingles(own.rolling, data, offsets)
             keys, weight, at = own.weighted(h, bounds, own.compared)
             cut = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())
-            yield pa.RecordBatch.from_arrays([rows.column(0), cut(keys), cut(weight)], names=["doc", "keys", "weights"])
+            size = pa.array(12 * np.diff(at))
+            yield pa.RecordBatch.from_arrays([rows.column(0), cut(keys), cut(weight), size], names=["doc", "keys", "weights", "size"])
 
-    return docs.mapInArrow(run, "doc long, keys binary, weights binary")
+    return docs.mapInArrow(run, "doc long, keys binary, weights binary, size long")
 
 
 def similarity(a_keys, a_weights, b_keys, b_weights) -> float:
@@ -241,13 +247,19 @@ def pivots_of(todo: DataFrame, samples: DataFrame) -> DataFrame:
     modes = modes.select("key", F.array(*(f"m{k}" for k in range(len(common)))).alias("modes"))
     own = F.array(*(F.get("samples", F.lit(k)) for k in looked_at))
     agreed = F.size(F.filter(F.zip_with(own, "modes", lambda x, y: x == y), lambda x: x))
-    best = sampled.join(modes, "key").groupBy("key").agg(F.max_by("doc", F.struct(agreed, -F.col("doc"))).alias("central"))
+    # A large bucket is dealt over parts; the best of each part meet again.
+    part = F.pmod(F.xxhash64("doc"), F.lit(PARTS)).cast("int")
+    spread = modes.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    score = F.struct(agreed.alias("agreed"), (-F.col("doc")).alias("least"))
+    of_part = sampled.withColumn("part", part).join(spread, ["key", "part"]).groupBy("key", "part").agg(F.max(score).alias("best"))
+    best = of_part.groupBy("key").agg((-F.max("best")["least"]).alias("central"))
     return sizes.join(best, "key", "left").select("key", F.coalesce("central", "least").alias("pivot"))
 
 
 def blocks_of(members: DataFrame, samples: DataFrame, sets: DataFrame) -> DataFrame:
-    """(key, block, docs) of members (key, doc): about BLOCK documents each, with samples and sets."""
-    sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    """(key, block, docs) of members (key, doc), with samples and sets: about BLOCK documents each, fewer of long ones."""
+    bulk = members.join(sets.select("doc", "size"), "doc").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
+    sizes = bulk.select("key", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)).alias("blocks"))
     placed = members.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
     full = placed.join(samples, "doc").join(sets, "doc")
     docs = F.collect_list(F.struct("doc", "samples", "keys", "weights")).alias("docs")
