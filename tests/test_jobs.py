@@ -4,7 +4,7 @@ import fixtures
 import pytest
 from pyspark.sql import functions as F
 
-from tracklake.operators import reports
+from tracklake.operators import checks, reports
 from tracklake.plans.clean import clean
 from tracklake.plans.load import import_clean, read_clean, run, validate_import
 from tracklake.plans.remove import delete_counts, delete_study, extract_study, split_for_delete
@@ -284,3 +284,50 @@ def test_staged_folders_go_with_their_scope(spark):
         keep(second)
     assert [tables.exists(spark, f) for f in outer] == [False, True, False]
     assert second.count() == 2
+
+
+def test_a_chain_of_borrowing_studies_is_refused(spark, cleaned):
+    """Five studies, each with a tag of the one before; the first repeats an individual."""
+    def shifted(df, by):
+        ids = [c for c in df.columns if c.endswith("_id") and c != "sensor_type_id"]
+        return df.withColumns({c: F.col(c) + by * 100_000 for c in ids})
+
+    one = {e: df.where("study_id = 1000") for e, df in cleaned.tables.items()}
+    new = {e: df for e, df in one.items()}
+    for by in range(1, 6):
+        for e, df in one.items():
+            new[e] = new[e].unionByName(shifted(df, by))
+    new["individual"] = new["individual"].unionByName(one["individual"].limit(1))
+    before = F.when(F.col("study_id") > 1000, F.col("tag_id") - 100_000).otherwise(F.col("tag_id"))
+    new["deployment"] = new["deployment"].withColumn("tag_id", F.when(F.col("study_id") < 500_000, before).otherwise(F.col("tag_id")))
+    done = import_clean(spark, new, scratch_path(spark, "db"))
+    assert {r.study_id for r in done.passed.collect()} == {501_000}
+    assert {r.study_id for r in done.violations.collect()} == {1000 + 100_000 * i for i in range(5)}
+
+
+def test_stored_ids_are_not_moved(spark, cleaned, database):
+    root, _ = database
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        index = tables.id_index(spark, root)
+        stored, buckets = index["event"]
+        assert buckets == 64 and stored.count() == 6
+        rows = checks.taken_keys({"event": cleaned.tables["event"]}, {}, {"event": index["event"]})
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert rows.count() == 6
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    bucketed = [line for line in plan.split("\n") if "Bucketed: true" in line]
+    assert bucketed, plan
+    # Above the scan of stored ids, up to the join, there is no exchange.
+    lines = plan.split("\n")
+    at = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    up, level = [], depth(lines[at])
+    for line in reversed(lines[:at]):
+        if depth(line) < level:
+            up.append(line)
+            level = depth(line)
+            if "LeftSemi" in line and "_key" in line:
+                break
+    assert up and not any("Exchange" in line and "Broadcast" not in line for line in up), "\n".join(up)

@@ -221,42 +221,82 @@ def unresolved_identifiers(export: DataFrame, resolved: DataFrame) -> DataFrame:
     return all_of(*lost, violation(off, "identifier_rows", F.lit("event"), detail))
 
 
-def broken_references(new: dict[str, DataFrame], existing: dict[str, DataFrame]) -> DataFrame:
-    """Foreign keys of the new rows that neither the new nor the existing tables have.
+def used_references(new: dict[str, DataFrame]) -> DataFrame:
+    """(study_id, child, column, parent, ref, num): foreign keys of the new rows, counted per key value.
 
-    Child rows are counted per key value first, so a hot key is one row in the join.
+    So a hot key is one row later, and the rows themselves are read once.
     """
     found = []
     for child, column, parent in FOREIGN_KEYS:
         if child not in new:
             continue
-        key = PRIMARY_KEY[parent]
-        known = new[parent].select(F.col(key).alias("_ref"))
-        if parent in existing:
-            known = known.unionByName(existing[parent].select(F.col(key).alias("_ref")))
-        used = (
-            new[child]
-            .where(F.col(column).isNotNull())
-            .select("study_id", F.col(column).alias("_ref"))
-            .groupBy("study_id", "_ref")
-            .agg(F.count("*").alias("num"))
-        )
-        lost = used.join(known, "_ref", "left_anti")
-        where = F.concat(F.lit(f"{child}.{column}/"), F.col("_ref").cast("string"))
-        found.append(violation(lost, "foreign_key", where, F.col("num")))
+        used = new[child].where(F.col(column).isNotNull()).groupBy("study_id", F.col(column).alias("ref"))
+        names = [F.lit(x).alias(n) for x, n in ((child, "child"), (column, "column"), (parent, "parent"))]
+        found.append(used.agg(F.count("*").alias("num")).select("study_id", *names, "ref", "num"))
     return all_of(*found)
 
 
-def taken_keys(new: dict[str, DataFrame], existing: dict[str, DataFrame]) -> DataFrame:
+def _keys(entities: dict[str, DataFrame], parents: set[str], *more: str) -> DataFrame:
+    keys = [df.select(F.lit(e).alias("parent"), F.col(PRIMARY_KEY[e]).alias("ref"), *more) for e, df in entities.items() if e in parents]
+    return all_of(*keys)
+
+
+def _broken(lost: DataFrame) -> DataFrame:
+    where = F.concat("child", F.lit("."), "column", F.lit("/"), F.col("ref").cast("string"))
+    return violation(lost, "foreign_key", where, F.col("num"))
+
+
+def broken_references(
+    new: dict[str, DataFrame], existing: dict[str, DataFrame], used: DataFrame | None = None
+) -> DataFrame:
+    """Foreign keys of the new rows that neither the new nor the existing tables have.
+
+    `used` is the result of used_references where it is at hand.
+    """
+    used = used_references(new) if used is None else used
+    parents = {parent for _, _, parent in FOREIGN_KEYS}
+    known = _keys(new, parents)
+    if existing:
+        known = known.unionByName(_keys(existing, parents))
+    return _broken(used.join(known, ["parent", "ref"], "left_anti"))
+
+
+def borrowed_references(new: dict[str, DataFrame], existing: dict[str, DataFrame], used: DataFrame) -> DataFrame:
+    """References that only other studies of the new rows can serve, each with these studies as `lender`."""
+    parents = {parent for _, _, parent in FOREIGN_KEYS}
+    offers = _keys(new, parents, F.col("study_id").alias("lender")).distinct()
+    open_ones = used.join(_keys(existing, parents), ["parent", "ref"], "left_anti") if existing else used
+    own = offers.withColumnRenamed("lender", "study_id")
+    return open_ones.join(own, ["parent", "ref", "study_id"], "left_anti").join(offers, ["parent", "ref"])
+
+
+def broken_by_refusal(borrowed: DataFrame, refused: DataFrame, newly: DataFrame) -> DataFrame:
+    """References that break as the last lender is refused: only those of newly refused lenders are looked at."""
+    key = ["study_id", "child", "column", "parent", "ref"]
+    touched = borrowed.join(newly.select(F.col("study_id").alias("lender")), "lender", "left_semi").select(*key).distinct()
+    left = borrowed.join(refused.select(F.col("study_id").alias("lender")), "lender", "left_anti").select(*key).distinct()
+    lost = touched.join(left, key, "left_anti").join(borrowed.select(*key, "num").distinct(), key)
+    return _broken(lost)
+
+
+def taken_keys(
+    new: dict[str, DataFrame], existing: dict[str, DataFrame], index: dict[str, tuple[DataFrame, int]] | None = None
+) -> DataFrame:
     """Primary keys of the new rows that are used twice, among them or in the tables.
 
-    Keys are counted across studies: an id in two studies is a violation of both.
+    Keys are counted across studies: an id in two studies is a violation of both. With an index of the stored ids
+    (tables.id_index) only the new ids are moved, to the buckets in which the stored ones lie.
     """
     found = []
     for entity, df in new.items():
         key = PRIMARY_KEY[entity]
         rows = df.select("study_id", F.col(key).alias("_key"), F.lit(1).alias("_new"))
-        if entity in existing:
+        if index and entity in index:
+            stored, buckets = index[entity]
+            wanted = df.select(F.col(key).alias("_key")).distinct().repartition(buckets, "_key")
+            again = stored.select("study_id", F.col("id").alias("_key"), F.lit(0).alias("_new"))
+            rows = rows.unionByName(again.join(wanted, "_key", "left_semi").select("study_id", "_key", "_new"))
+        elif entity in existing:
             # New ids are mostly later ones: only row groups that reach into their range are read.
             least, most = df.agg(F.min(key), F.max(key)).first()
             again = (

@@ -57,7 +57,7 @@ def import_clean(
     """Append clean tables, parents first. Each study comes in whole or not at all.
 
     References and keys are checked against the new rows and the tables before anything shows. Where
-    studies are refused, references are checked again without them, until nothing more is.
+    studies are refused, the references that they alone could serve break too, until nothing more does.
     A dry run writes nothing to the tables and returns the counts.
     """
     if not dry_run:
@@ -65,16 +65,22 @@ def import_clean(
     new = {e: conform(clean_tables[e], e) for e in ENTITIES}
     there = tables.exists(spark, f"{root}/commits")
     existing = tables.read_tables(spark, root) if there else {e: empty_table(spark, e) for e in ENTITIES}
-    found = checks.broken_references(new, existing).unionByName(checks.taken_keys(new, existing))
-    found = violations = stage(found, "import-violations")
-    studies = new["study"].select("study_id").distinct()
-    while True:
-        passed = stage(studies.join(checks.failed_studies(violations), "study_id", "left_anti"), "passed")
-        good = of_studies(new, passed)
-        if found.isEmpty():
-            break
-        found = stage(checks.broken_references(good, existing), "more-violations")
+    index = tables.id_index(spark, root) if there else None
+    used = stage(checks.used_references(new), "references")
+    found = checks.broken_references(new, existing, used).unionByName(checks.taken_keys(new, existing, index))
+    violations = stage(found, "import-violations")
+    newly = refused = stage(checks.failed_studies(violations), "refused")
+    if not refused.isEmpty():
+        borrowed = stage(checks.borrowed_references(new, existing, used), "borrowed")
+    while not newly.isEmpty():
+        # Who borrows from a study that has just been refused goes too; no table is read again for it.
+        found = stage(checks.broken_by_refusal(borrowed, refused, newly), "more-violations")
         violations = violations.unionByName(found)
+        newly = stage(checks.failed_studies(found).join(refused, "study_id", "left_anti"), "refused")
+        refused = refused.unionByName(newly)
+    studies = new["study"].select("study_id").distinct()
+    passed = stage(studies.join(refused, "study_id", "left_anti"), "passed")
+    good = of_studies(new, passed)
     load_id = tables.new_load_id()
     counts = []
     for entity in ENTITIES:

@@ -7,6 +7,7 @@ delete is an append as well. Readers prune to live folders.
 """
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +15,13 @@ from pyspark.sql import types as T
 
 from tracklake.operators.joins import is_small, join_facts
 from tracklake.operators.shape import conform
-from tracklake.schema import ENTITIES, EVENT_STATS_SCHEMA, empty_table, table_schema
+from tracklake.schema import ENTITIES, EVENT_STATS_SCHEMA, PRIMARY_KEY, empty_table, table_schema
 from tracklake.session import stage
 from tracklake.sources.raw import balanced_by_study
 
+# Buckets of the ids of a table; a store keeps the number it was made with.
+ID_BUCKETS = {"event": 64}
+FEW_BUCKETS = 8
 COMMIT_SCHEMA = "seq bigint, load_id string, study_id bigint, entity string, state string"
 SORT_WITHIN = {"event": ("individual_id", "timestamp")}
 
@@ -54,9 +58,55 @@ def append_rows(df: DataFrame, root: str, entity: str, load_id: str) -> DataFram
     balanced = balanced_by_study(rows, SORT_WITHIN.get(entity, ()))
     _writer(balanced.withColumn("load_id", F.lit(load_id))).mode("append").parquet(f"{root}/{entity}")
     written = staged_rows(df.sparkSession, root, entity, load_id)
+    _append_ids(written, root, entity, load_id)
     return written.groupBy("study_id").agg(F.count("*").alias("num"))
 
 
+@contextmanager
+def _id_table(spark: SparkSession, root: str, entity: str, buckets: int):
+    """A name for the bucketed folder of ids, known to the catalog for a moment only."""
+    name = f"ids_{uuid.uuid4().hex}"
+    spark.sql(
+        f"create table {name} (id bigint, load_id string, study_id bigint) using parquet "
+        f"clustered by (id) sorted by (id) into {buckets} buckets location '{root}/ids/{entity}-{buckets}'"
+    )
+    try:
+        yield name
+    finally:
+        spark.sql(f"drop table {name}")
+
+
+def _buckets_of(spark: SparkSession, root: str, entity: str) -> int | None:
+    """Number of buckets that the ids of a table are kept in, which is part of the folder's name."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/ids/{entity}-*")
+    found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(folder)
+    return int(found[0].getPath().getName().rsplit("-", 1)[1]) if found else None
+
+
+def _append_ids(rows: DataFrame, root: str, entity: str, load_id: str) -> None:
+    """Add the ids of a load to the index: hashed into buckets and sorted."""
+    spark = rows.sparkSession
+    buckets = _buckets_of(spark, root, entity) or ID_BUCKETS.get(entity, FEW_BUCKETS)
+    ids = rows.select(F.col(PRIMARY_KEY[entity]).alias("id"), F.lit(load_id).alias("load_id"), "study_id").where("id is not null")
+    with _id_table(spark, root, entity, buckets) as name:
+        ids.repartition(buckets, "id").write.insertInto(name)
+
+
+def id_index(spark: SparkSession, root: str) -> dict[str, tuple[DataFrame, int]]:
+    """Live ids (id, load_id, study_id) of each table and their number of buckets; a join on id does not move them."""
+    live = stage(live_parts(spark, root), "live")
+    small, out = is_small(live), {}
+    for entity in ENTITIES:
+        buckets = _buckets_of(spark, root, entity)
+        if buckets is None:
+            continue
+        with _id_table(spark, root, entity, buckets) as name:
+            ids = spark.table(name)
+        parts = live.where(F.col("entity") == entity).select("load_id", "study_id")
+        out[entity] = join_facts(ids, parts, ["load_id", "study_id"], "left_semi", small=small), buckets
+    return out
+
+
 def append_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("study_id",)) -> int:
     """Append to one plain table by column name; returns how many rows it grew by."""
     spark = df.sparkSession
