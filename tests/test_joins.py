@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tracklake.operators import relate
 from tracklake.operators import joins, relate
 
 EVENT = "event_id bigint, study_id bigint, individual_id bigint, tag_id bigint, timestamp timestamp"
@@ -153,3 +154,19 @@ def test_identifiers(frame):
     out = relate.resolve_identifiers(export, tag, people, sensor, types, by=("study_id",))
     got = out.orderBy("event_id").select("tag_id", "individual_id", "sensor_type_id", "sensor_id").collect()
     assert [tuple(r) for r in got] == [(10, 5, 653, 100), (11, None, 653, None), (None, 5, None, None)]
+
+
+def test_binned_join_meets_few_deployments(spark):
+    """10,000 deployments of an hour on one pair, and 20,000 events: an event meets those of its bin alone."""
+    use = spark.range(10_000).selectExpr(
+        "1L as study_id", "2L as individual_id", "3L as tag_id", "id as deployment_id",
+        "timestamp_seconds(id * 3600) as deploy_on_timestamp", "timestamp_seconds(id * 3600 + 3600) as deploy_off_timestamp",
+    )
+    event = spark.range(20_000).selectExpr("1L as study_id", "2L as individual_id", "3L as tag_id", "id as event_id", "timestamp_seconds(id * 1800) as timestamp")
+    bins = relate.bins_of_keys(use, relate.DEPLOYMENT_KEYS)
+    side = relate.binned_deployments(use, bins, relate.DEPLOYMENT_KEYS)
+    assert side.count() <= 2 * 10_000 + 2
+    assert side.groupBy("_bin").count().agg({"count": "max"}).first()[0] <= 3
+    found = relate.binned_interval_join(event, use)
+    assert found.count() == 20_000
+    assert found.where("deployment_id <> floor(event_id / 2)").isEmpty()

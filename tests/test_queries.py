@@ -20,8 +20,9 @@ CHOICE = (
     "resolved_identifiers", "deduplicated_events", "deduplicated_ships", "numbered_groups",
     "near_duplicate_events", "duplicates_per_individual", "entity_counts", "study_summary",
     "years_of_study", "compared_totals", "taken_keys", "untidy_documents", "raw_events",
-    "tidy_documents", "time_parts", "tags_by_header", "lost_values", "broken_lines",
-    *(name for name, q in entry.base.QUERIES.items() if q.run.__module__.endswith(".jobs")),
+    "tidy_documents", "time_parts", "cleaned_events", "tags_by_header", "lost_values", "broken_lines",
+    "interval_join_binned", "rows_of_study", "deleted_rows", "deleted_rows_keep_shared", "rows_after_delete",
+    "imported_rows", "merged_stats",
 )
 NAMES = list(entry.base.QUERIES) if os.environ.get("TRACKLAKE_ALL_QUERIES") else CHOICE
 # Checks that find nothing where all is well.

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from tracklake.operators.joins import join_facts
 
 DEPLOYMENT_KEYS = ("study_id", "individual_id", "tag_id")
+# Keys with more deployments have time bins in a binned join.
+FEW_DEPLOYMENTS = 16
 DEPLOYMENT_COLUMNS = ("deployment_id", "deploy_on_timestamp", "deploy_off_timestamp")
 
 
@@ -60,6 +62,61 @@ def interval_join(
     return join_facts(events, side, list(keys), how, in_deployment(), **limits)
 
 
+def _micros(c: Column) -> Column:
+    return F.unix_micros(c)
+
+
+def bins_of_keys(deployments: DataFrame, keys: tuple[str, ...], few: int = FEW_DEPLOYMENTS) -> DataFrame:
+    """(keys, _low, _width, _bins) of the keys with many deployments: as many time bins as deployments."""
+    first = F.least(_micros(F.col("deploy_on_timestamp")), _micros(F.col("deploy_off_timestamp")))
+    last = F.greatest(_micros(F.col("deploy_on_timestamp")), _micros(F.col("deploy_off_timestamp")))
+    spans = deployments.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(first).alias("_low"), F.max(last).alias("_high"))
+    spans = spans.where((F.col("_n") > few) & F.col("_low").isNotNull())
+    width = F.floor((F.col("_high") - F.col("_low")) / F.col("_n")) + 1
+    return spans.select(*keys, "_low", width.alias("_width"), F.floor((F.col("_high") - F.col("_low")) / width).alias("_bins"))
+
+
+def _bin(micros: Column) -> Column:
+    """The bin of a time; one before and one after all bins take what lies outside, and keys without bins have one."""
+    place = F.floor((micros - F.col("_low")) / F.col("_width"))
+    inside = F.least(F.greatest(place, F.lit(-1)), F.col("_bins") + 1)
+    # Least and greatest pass over missing values.
+    return F.when(F.col("_low").isNull(), F.lit(0)).when(micros.isNotNull(), inside).cast("long")
+
+
+def binned_deployments(deployments: DataFrame, bins: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """A row per bin that a deployment reaches into; an open end reaches into the outermost bin."""
+    side = deployments.select(*keys, *DEPLOYMENT_COLUMNS).join(bins, list(keys), "left")
+    first = F.when(F.col("_low").isNull(), F.lit(0)).otherwise(
+        F.coalesce(_bin(_micros(F.col("deploy_on_timestamp"))), F.lit(-1))
+    )
+    # The end is not part of the interval.
+    last = F.when(F.col("_low").isNull(), F.lit(0)).otherwise(
+        F.coalesce(_bin(_micros(F.col("deploy_off_timestamp")) - 1), F.col("_bins") + 1)
+    )
+    side = side.withColumn("_first", first.cast("long")).withColumn("_last", last.cast("long")).where("_first <= _last")
+    return side.withColumn("_bin", F.explode(F.sequence("_first", "_last"))).drop("_first", "_last", "_low", "_width", "_bins")
+
+
+def binned_interval_join(
+    events: DataFrame,
+    deployments: DataFrame,
+    keys: tuple[str, ...] = DEPLOYMENT_KEYS,
+    how: str = "inner",
+    few: int = FEW_DEPLOYMENTS,
+    **limits,
+) -> DataFrame:
+    """As interval_join, for keys that may have thousands of deployments.
+
+    Deployments of such keys are cut into time bins, and an event meets only those of its bin. Other keys have one bin.
+    """
+    bins = bins_of_keys(deployments, keys, few)
+    marked = join_facts(events, bins, list(keys), "left", **limits)
+    marked = marked.withColumn("_bin", _bin(_micros(F.col("timestamp")))).drop("_low", "_width", "_bins")
+    side = binned_deployments(deployments, bins, keys)
+    return join_facts(marked, side, [*keys, "_bin"], how, in_deployment(), **limits).drop("_bin")
+
+
 def null_keyed_deployments(deployments: DataFrame) -> DataFrame:
     """Deployments no event can match, because an id is missing."""
     return deployments.where(F.col("individual_id").isNull() | F.col("tag_id").isNull())

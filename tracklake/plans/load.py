@@ -91,6 +91,7 @@ def import_clean(
         counts.append(counted.select("study_id", F.lit(entity).alias("entity"), "num"))
     rows = stage(checks.all_of(*counts), "import-rows")
     if not dry_run:
+        tables.append_states(spark, root, load_id)
         parts = rows.select(F.lit(load_id).alias("load_id"), "study_id", "entity", F.lit("live").alias("state"))
         tables.commit(parts, root)
     return Imported(load_id, rows, violations, passed, not dry_run)

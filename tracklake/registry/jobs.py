@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tracklake.operators.filters import event_rules, keep_valid
 from tracklake.operators.shape import conform
 from tracklake.plans.clean import clean
 from tracklake.plans.load import import_clean, run, validate_import
@@ -232,3 +233,23 @@ def clean_marked_studies(t: Testbed):
     control = t.study.where("study_id % 2 = 0").select("study_id")
     clean_root, table_root = scratch_path(t.spark, "clean"), scratch_path(t.spark, "tables")
     return run(t.spark, t.raw, clean_root, table_root, "c", control, as_of=AS_OF)
+
+
+@query(
+    "A14 E9 K5",
+    "select individual_id, {{ts:min(timestamp)}} as ts_min, {{ts:max(timestamp)}} as ts_max, min(lon) as lon_min, max(lon) as lon_max, "
+    "avg(lon) as lon_mean, min(lat) as lat_min, max(lat) as lat_max, avg(lat) as lat_mean from m_good "
+    "where study_id is not null and study_id <> 6 group by individual_id",
+)
+def merged_stats(t: Testbed):
+    """Two loads that share individuals, and a deleted study: statistics from the stored states."""
+    root = scratch_path(t.spark, "tables")
+    tables.create_tables(t.spark, root)
+    events = keep_valid(t.raw_event, event_rules(AS_OF)).where("study_id is not null")
+    for rest in (0, 1):
+        load = tables.new_load_id()
+        rows = tables.append_rows(events.where(f"floor(event_id / 4) % 2 = {rest}"), root, "event", load)
+        tables.append_states(t.spark, root, load)
+        tables.commit(rows.selectExpr(f"'{load}' as load_id", "study_id", "'event' as entity", "'live' as state"), root)
+    delete_study(t.spark, root, 6)
+    return tables.merged_stats(t.spark, root)

@@ -54,6 +54,30 @@ def interval_join_keep_all(t: Testbed):
     return joined.select("individual_id", "tag_id", "deployment_id", "lon", "lat", "timestamp")
 
 
+@query(
+    "D1",
+    "select o_orderkey as deployment_id, count(*) as num from orders join lineitem on l_shipdate = o_orderdate group by 1",
+)
+def interval_join_binned(t: Testbed):
+    """All ships on one pair of individual and tag, which each order deploys for a day."""
+    one = {"individual_id": F.lit(1).cast("bigint"), "tag_id": F.lit(1).cast("bigint")}
+    days = {"deploy_on_timestamp": F.expr("timestamp(o_orderdate)"), "deploy_off_timestamp": F.expr("timestamp(o_orderdate) + interval 1 day")}
+    uses = t.table("orders").withColumn("deployment_id", F.col("o_orderkey")).withColumns({**one, **days})
+    found = relate.binned_interval_join(t.ship.withColumns(one), uses, SHIP_KEYS)
+    return found.groupBy("deployment_id").agg(F.count("*").alias("num"))
+
+
+@query(
+    "D1",
+    "select s.individual_id, s.tag_id, deployment_id, lon, lat, {{ts:timestamp}} as timestamp from m_ship s "
+    f"left join m_ship_deployment d on s.individual_id = d.individual_id and s.tag_id = d.tag_id and {INSIDE_SQL}",
+)
+def interval_join_binned_keep_all(t: Testbed):
+    """Open ends, keys with few deployments and the others: the same as without bins."""
+    joined = relate.binned_interval_join(t.ship, t.ship_deployment, SHIP_KEYS, "left", few=0)
+    return joined.select("individual_id", "tag_id", "deployment_id", "lon", "lat", "timestamp")
+
+
 @query(
     "D1 C1-C9 D2",
     "select event_id, study_id, deployment_id, {{ts:timestamp}} as timestamp from m_located",

@@ -23,6 +23,10 @@ from tracklake.sources.raw import balanced_by_study
 ID_BUCKETS = {"event": 64}
 FEW_BUCKETS = 8
 COMMIT_SCHEMA = "seq bigint, load_id string, study_id bigint, entity string, state string"
+STATE_SCHEMA = (
+    "load_id string, study_id bigint, individual_id bigint, num bigint, ts_min timestamp, ts_max timestamp, lon_min double, "
+    "lon_max double, lon_sum double, lon_num bigint, lat_min double, lat_max double, lat_sum double, lat_num bigint"
+)
 SORT_WITHIN = {"event": ("individual_id", "timestamp")}
 
 
@@ -38,6 +42,7 @@ def create_tables(spark: SparkSession, root: str) -> None:
         empty = empty_table(spark, entity).withColumn("load_id", F.lit(""))
         _writer(empty).mode("ignore").parquet(f"{root}/{entity}")
     spark.createDataFrame([], COMMIT_SCHEMA).write.mode("ignore").parquet(f"{root}/commits")
+    spark.createDataFrame([], STATE_SCHEMA).write.mode("ignore").parquet(f"{root}/event_states")
     spark.createDataFrame([], EVENT_STATS_SCHEMA).write.mode("ignore").parquet(f"{root}/event_indiv_stats")
 
 
@@ -170,6 +175,30 @@ def commit(parts: DataFrame, root: str) -> None:
     lines.coalesce(1).write.mode("append").parquet(f"{root}/commits")
 
 
+def append_states(spark: SparkSession, root: str, load_id: str) -> None:
+    """Partial statistics per individual of a load's events, which can be merged with those of other loads."""
+    events = staged_rows(spark, root, "event", load_id)
+    parts = [F.count("*").alias("num"), F.min("timestamp").alias("ts_min"), F.max("timestamp").alias("ts_max")]
+    for c in ("lon", "lat"):
+        parts += [F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"), F.sum(c).alias(f"{c}_sum"), F.count(c).alias(f"{c}_num")]
+    states = events.groupBy("study_id", "individual_id").agg(*parts).withColumn("load_id", F.lit(load_id))
+    states.select(*[f.split()[0] for f in STATE_SCHEMA.split(", ")]).write.mode("append").parquet(f"{root}/event_states")
+
+
+def merged_stats(spark: SparkSession, root: str) -> DataFrame:
+    """Statistics per individual over all live loads, from the stored states alone.
+
+    A deleted study's states are not live any more, so nothing has to be taken back.
+    """
+    states = spark.read.schema(STATE_SCHEMA).parquet(f"{root}/event_states")
+    live = live_parts(spark, root, "event").select("load_id", "study_id")
+    states = join_facts(states, live, ["load_id", "study_id"], "left_semi")
+    mean = lambda c: (F.sum(f"{c}_sum") / F.nullif(F.sum(f"{c}_num"), F.lit(0))).alias(f"{c}_mean")
+    sides = [x for c in ("lon", "lat") for x in (F.min(f"{c}_min").alias(f"{c}_min"), F.max(f"{c}_max").alias(f"{c}_max"), mean(c))]
+    merged = states.groupBy("individual_id").agg(F.min("ts_min").alias("ts_min"), F.max("ts_max").alias("ts_max"), *sides)
+    return merged.select(*[f.split()[0] for f in EVENT_STATS_SCHEMA.split(", ")])
+
+
 def write_event_stats(stats: DataFrame, root: str) -> None:
     """Append rows to the statistics table; its key is the individual, which must be new to it."""
     spark, path = stats.sparkSession, f"{root}/event_indiv_stats"
