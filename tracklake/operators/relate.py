@@ -84,9 +84,11 @@ def _bin(micros: Column) -> Column:
     return F.when(F.col("_low").isNull(), F.lit(0)).when(micros.isNotNull(), inside).cast("long")
 
 
-def binned_deployments(deployments: DataFrame, bins: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+def binned_deployments(
+    deployments: DataFrame, bins: DataFrame, keys: tuple[str, ...], columns: tuple[str, ...] = DEPLOYMENT_COLUMNS
+) -> DataFrame:
     """A row per bin that a deployment reaches into; an open end reaches into the outermost bin."""
-    side = deployments.select(*keys, *DEPLOYMENT_COLUMNS).join(bins, list(keys), "left")
+    side = deployments.select(*keys, *columns).join(bins, list(keys), "left")
     first = F.when(F.col("_low").isNull(), F.lit(0)).otherwise(
         F.coalesce(_bin(_micros(F.col("deploy_on_timestamp"))), F.lit(-1))
     )
@@ -104,16 +106,18 @@ def binned_interval_join(
     keys: tuple[str, ...] = DEPLOYMENT_KEYS,
     how: str = "inner",
     few: int = FEW_DEPLOYMENTS,
+    columns: tuple[str, ...] = DEPLOYMENT_COLUMNS,
     **limits,
 ) -> DataFrame:
     """As interval_join, for keys that may have thousands of deployments.
 
     Deployments of such keys are cut into time bins, and an event meets only those of its bin. Other keys have one bin.
+    `columns` of the deployments are added to the events, the ends of the interval among them.
     """
     bins = bins_of_keys(deployments, keys, few)
     marked = join_facts(events, bins, list(keys), "left", **limits)
     marked = marked.withColumn("_bin", _bin(_micros(F.col("timestamp")))).drop("_low", "_width", "_bins")
-    side = binned_deployments(deployments, bins, keys)
+    side = binned_deployments(deployments, bins, keys, columns)
     return join_facts(marked, side, [*keys, "_bin"], how, in_deployment(), **limits).drop("_bin")
 
 

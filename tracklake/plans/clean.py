@@ -71,6 +71,7 @@ def clean(
     tolerance: str | None = None,
     outliers: bool = False,
     problems: DataFrame | None = None,
+    found: list[DataFrame] | tuple = (),
 ) -> Cleaned:
     """Filter, reduce, locate in deployments, de-duplicate, check, and leave out bad studies.
 
@@ -80,7 +81,8 @@ def clean(
     totals of de-duplication have told already. `tolerance` and `outliers` are those of the event rules.
 
     Rows may carry the marks of sources.files; `problems` are those of the files. A study with an unreadable
-    file fails, lost values are counted, and lines with another number of cells are rejected.
+    file fails, lost values are counted, and lines with another number of cells are rejected. Violations `found` before
+    count with the others.
     """
     counted = [c for c in raw["event"].columns if c not in ("study_id", *files.MARKS)]
     marked = [e for e, df in raw.items() if set(files.MARKS) <= set(df.columns)]
@@ -108,6 +110,7 @@ def clean(
     rows_in = profile.groupBy("study_id").agg(F.sum("num").alias("num"))
     rows_out = event.groupBy("study_id").agg(F.count("*").alias("num"))
     found = [
+        *found,
         checks.entities_without_records(studies, raw),
         checks.tags_without_deployment(kept["tag"], deployment),
         checks.repeated_deployments(deployment),

@@ -9,7 +9,7 @@ from tracklake.operators import checks
 from tracklake.operators.reports import entity_counts
 from tracklake.operators.shape import conform
 from tracklake.plans.clean import clean, of_studies
-from tracklake.schema import ENTITIES, empty_table, table_schema
+from tracklake.schema import ENTITIES, STATUS_SCHEMA, empty_table, table_schema
 from tracklake.session import stage
 from tracklake.sources import files, lookup, tables
 from tracklake.sources.raw import balanced_by_study, read_clean_csv, write_csv
@@ -133,6 +133,7 @@ def run(
     file_format: str = "parquet",
     dry_run: bool = False,
     layout: str = "folders",
+    manifest_path: str | None = None,
     **options,
 ) -> DataFrame:
     """The chosen steps for the marked studies. Returns (study_id, step, result).
@@ -140,27 +141,45 @@ def run(
     `raw` is the folder of the raw files, or the raw tables. Steps are letters: c clean,
     i import, v validate. A study that fails a step takes no part in the next ones. Files are
     found by a listing and read by their headers; an unreadable one fails its study alone.
+    The status log gets the lines of a step when the step ends. With a manifest, a listing of the files that were cleaned
+    last, only studies with other files than then take part; keep one manifest per choice of options.
     """
     unknown = set(steps) - set(STEPS)
     if unknown:
         raise ValueError(f"unknown steps: {sorted(unknown)}")
+    log, seen = [], None
+
+    def note(studies: DataFrame, passed: DataFrame, step: str) -> None:
+        lines = stage(status_of(studies, passed, STEPS[step]), "status")
+        if status_path:
+            lookup.append_status(lines, status_path)
+        log.append(lines)
+
     if isinstance(raw, str) and "c" in steps:
         listed = files.list_raw(spark, raw, layout)
         if control is not None:
             # Only the marked studies' files are opened.
             marked = listed.join(control.select("study_id"), "study_id", "left_semi")
             listed = marked.unionByName(listed.where("study_id is null"))
+        if manifest_path:
+            listed = stage(listed, "listed")
+            changed = stage(files.changed_studies(listed, files.read_manifest(spark, manifest_path)), "changed")
+            if changed.isEmpty():
+                return spark.createDataFrame([], STATUS_SCHEMA)
+            seen = listed.join(changed, "study_id", "left_semi")
+            listed, control = seen.unionByName(listed.where("study_id is null")), changed
         read = files.read_files(spark, listed, layout)
         raw, options["problems"] = read.tables, read.problems
         control = read.studies if control is None else control
-    log = []
     known = isinstance(raw, dict)
     going = control if control is not None else (raw["study"] if known else None)
     going = going.select("study_id").distinct() if going is not None else None
     if "c" in steps:
         cleaned = clean(of_studies(raw, going), **options)
         write_clean(cleaned.tables, clean_root, file_format)
-        log.append(status_of(going, cleaned.passed, STEPS["c"]))
+        note(going, cleaned.passed, "c")
+        if seen is not None:
+            files.append_manifest(seen, manifest_path)
         going = cleaned.passed
     if "i" in steps or "v" in steps:
         clean_tables = read_clean(spark, clean_root, file_format)
@@ -169,16 +188,73 @@ def run(
         clean_tables = of_studies(clean_tables, going)
     if "i" in steps:
         imported = import_clean(spark, clean_tables, table_root, dry_run)
-        log.append(status_of(going, imported.passed, STEPS["i"]))
+        note(going, imported.passed, "i")
         going = imported.passed
         clean_tables = of_studies(clean_tables, going)
     if "v" in steps and not dry_run:
-        compared = validate_import(clean_tables, tables.read_tables(spark, table_root))
-        agreed = compared.groupBy("study_id").agg(F.every("equal").alias("all_equal"))
-        log.append(status_of(going, agreed.where("all_equal"), STEPS["v"]))
-    if not log:
-        return spark.createDataFrame([], "study_id bigint, step string, result string")
-    status = stage(checks.all_of(*log), "status")
-    if status_path:
-        lookup.append_status(status, status_path)
-    return status
+        note(going, agreeing(clean_tables, tables.read_tables(spark, table_root)), "v")
+    return checks.all_of(*log) if log else spark.createDataFrame([], STATUS_SCHEMA)
+
+
+def agreeing(clean_tables: dict[str, DataFrame], db: dict[str, DataFrame]) -> DataFrame:
+    """Studies with as many rows in every table as in their clean files."""
+    compared = validate_import(clean_tables, db)
+    return compared.groupBy("study_id").agg(F.every("equal").alias("all_equal")).where("all_equal").select("study_id")
+
+
+def next_steps(studies: DataFrame, state: DataFrame, steps: str = "civ") -> DataFrame:
+    """(study_id, next): the first step that a study has not passed since it passed the step before; none if it is through."""
+    passed = [
+        F.max(F.when((F.col("step") == STEPS[s]) & (F.col("result") == "success"), F.col("at"))).alias(s) for s in steps
+    ]
+    wide = studies.select("study_id").distinct().join(state.groupBy("study_id").agg(*passed), "study_id", "left")
+    done = [F.coalesce(F.col(s) >= F.col(before), F.lit(False)) for before, s in zip(steps[:1] + steps, steps)]
+    open_steps = [F.when(~passed_it, F.lit(s)) for passed_it, s in zip(done, steps)]
+    return wide.select("study_id", F.coalesce(*open_steps).alias("next"))
+
+
+def resume(
+    spark: SparkSession,
+    raw: dict[str, DataFrame] | str,
+    clean_root: str,
+    table_root: str,
+    status_path: str,
+    steps: str = "civ",
+    control: DataFrame | None = None,
+    layout: str = "folders",
+    file_format: str = "parquet",
+    **options,
+) -> DataFrame:
+    """Go on where the status log ends: each study takes up the first step that it has not passed.
+
+    A study that failed a step tries it again. A step passed before the one in front of it was passed anew is due
+    again. Returns the new lines (study_id, step, result). Rows that a stopped import has shown are not imported
+    again: such a study passes the import if its tables hold as many rows as its clean files, and fails it otherwise.
+    """
+    if control is None:
+        control = files.list_raw(spark, raw, layout).where("study_id is not null") if isinstance(raw, str) else raw["study"]
+    there = files.any_file(spark, f"{status_path}/*.csv")
+    state = lookup.job_state(spark, status_path) if there else spark.createDataFrame([], f"{STATUS_SCHEMA}, at timestamp")
+    todo = stage(next_steps(control, state, steps), "todo")
+    more = {"status_path": status_path, "file_format": file_format, "layout": layout}
+    log, going = [], None
+    for s in steps:
+        due = todo.where(F.col("next") == s).select("study_id")
+        due = due if going is None else due.unionByName(going)
+        shown = None
+        if s == "i" and tables.exists(spark, f"{table_root}/commits"):
+            live = tables.live_parts(spark, table_root).select("study_id")
+            shown = stage(due.join(live, "study_id", "left_semi"), "shown")
+            due = due.join(live, "study_id", "left_anti")
+        due, lines = stage(due, "due"), []
+        if not due.isEmpty():
+            lines.append(run(spark, raw, clean_root, table_root, s, due, **more, **(options if s == "c" else {})))
+        if shown is not None and not shown.isEmpty():
+            ready = of_studies(read_clean(spark, clean_root, file_format), shown)
+            kept = status_of(shown, agreeing(ready, tables.read_tables(spark, table_root)), STEPS[s])
+            lines.append(stage(kept, "status"))
+            lookup.append_status(lines[-1], status_path)
+        log += lines
+        passed = [x.where("result = 'success'").select("study_id") for x in lines]
+        going = checks.all_of(*passed) if passed else None
+    return checks.all_of(*log) if log else spark.createDataFrame([], STATUS_SCHEMA)

@@ -60,14 +60,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _staged: ContextVar[dict[int, str] | None] = ContextVar("staged", default=None)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     The result no longer depends on how it was computed, so losing executors later costs a
     re-read, and readers take only the columns they need. Within a scope() the folder is removed at its end.
+    There is a folder for each value of the columns `by`.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     if (own := _staged.get()) is not None:
         own[id(out)] = path

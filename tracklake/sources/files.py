@@ -106,6 +106,28 @@ def places(line: str | None, entity: str, fields=FIELDS) -> tuple[tuple[str, ...
     return at, missing, "header" if twice or wanted[0] in missing else None
 
 
+def changed_studies(listed: DataFrame, known: DataFrame) -> DataFrame:
+    """Studies of a listing with a file that is new, gone or of another size or time than in the listing before."""
+    parts = ["study_id", "path", "size", "modified"]
+    now, before = listed.where("study_id is not null").select(*parts), known.select(*parts)
+    changed = now.join(before, parts, "left_anti").unionByName(before.join(now, parts, "left_anti"))
+    return now.select("study_id").distinct().join(changed, "study_id", "left_semi")
+
+
+def append_manifest(listed: DataFrame, path: str) -> None:
+    """Keep a listing; it takes the place of earlier ones of its studies."""
+    listed.where("study_id is not null").withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The latest listing of each study; empty where none has been kept."""
+    if not any_file(spark, f"{path}/*.parquet"):
+        return spark.createDataFrame([], FILE_SCHEMA)
+    lines = spark.read.schema(f"{FILE_SCHEMA}, at timestamp").parquet(path)
+    latest = lines.groupBy("study_id").agg(F.max("at").alias("at"))
+    return lines.join(latest, ["study_id", "at"]).drop("at")
+
+
 @dataclass
 class RawFiles:
     """Marked rows per table, and the problems that were seen before any row was read."""

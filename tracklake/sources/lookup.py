@@ -25,5 +25,15 @@ def append_status(status: DataFrame, path: str) -> None:
     status.select("study_id", "step", "result").coalesce(1).write.mode("append").csv(path, header=True)
 
 
+def job_state(spark: SparkSession, path: str) -> DataFrame:
+    """(study_id, step, result, at): the latest line of each study and step, and when it was added.
+
+    A line is as old as its file; every append makes files of its own.
+    """
+    lines = spark.read.csv(path, header=True, schema=STATUS_SCHEMA)
+    lines = lines.select("*", F.col("_metadata.file_modification_time").alias("at"))
+    return lines.groupBy("study_id", "step").agg(F.max_by("result", "at").alias("result"), F.max("at").alias("at"))
+
+
 def read_status(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=STATUS_SCHEMA)
