@@ -22,7 +22,7 @@ CHOICE = (
     "years_of_study", "compared_totals", "taken_keys", "untidy_documents", "raw_events",
     "tidy_documents", "time_parts", "cleaned_events", "tags_by_header", "lost_values", "broken_lines",
     "interval_join_binned", "rows_of_study", "deleted_rows", "deleted_rows_keep_shared", "rows_after_delete",
-    "imported_rows", "merged_stats",
+    "imported_rows", "merged_stats", "identified_by_time", "ambiguous_identifiers", "deep_positions",
 )
 NAMES = list(entry.base.QUERIES) if os.environ.get("TRACKLAKE_ALL_QUERIES") else CHOICE
 # Checks that find nothing where all is well.
