@@ -105,6 +105,56 @@ def test_matrices_combine_associatively():
     assert np.array_equal(left, right)
 
 
+def best_ids(vocabulary, text):
+    """Ids of the best path by the textbook recursion; of equal paths the one with the longer last piece, from the end."""
+    shown = (" " + text).replace(" ", pieces.BLANK)
+    none = (None, float("-inf"))
+    best, start = [0.0] + [float("-inf")] * len(shown), [0] * (len(shown) + 1)
+    for end in range(1, len(shown) + 1):
+        for at in range(max(0, end - vocabulary.reach), end):
+            score = vocabulary.scores.get(shown[at:end], (0, vocabulary.unknown) if end == at + 1 else none)[1]
+            if best[at] + score > best[end]:
+                best[end], start[end] = best[at] + score, at
+    out, end = [], len(shown)
+    while end:
+        piece = shown[start[end] : end]
+        known = vocabulary.scores.get(piece)
+        out.append([known[0]] if known else vocabulary.byte_ids[list(piece.encode())].tolist())
+        end = start[end]
+    return [i for ids in reversed(out) for i in ids]
+
+
+def digest(ids):
+    return sum((k + 1) * i for k, i in enumerate(ids)) % pieces.PRIME
+
+
+LONG = [words(700, 9), "unbelievably longish sentences, " * 150 + "é 日本語", "ab " * 5 + words(3, 1), "", None]
+
+
+@pytest.mark.parametrize("group", [3, 64])
+def test_long_documents_have_the_textbook_path(spark, group):
+    vocabulary = pieces.vocabulary(PIECES)
+    docs = spark.createDataFrame(list(enumerate(LONG)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pieces.encode(docs, PIECES, chunk=40, with_ids=True, group=group).collect()}
+    for k, text in enumerate(LONG):
+        want = best_ids(vocabulary, text) if text else []
+        assert np.frombuffer(got[k]["ids"], "<u4").tolist() == want
+        assert (got[k]["n_pieces"], got[k]["digest"], got[k]["same"]) == (len(want), digest(want), True)
+
+
+@pytest.mark.parametrize("group", [3, 64])
+def test_words_across_many_chunks_have_the_largest_sum(spark, group):
+    vocabulary = pieces.vocabulary(PIECES)
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("etaoinshrdlu") for _ in range(n)) for n in (39, 40, 41, 600, 2500)] + ["nospaces" * 200, "aaaa" * 100, " " * 300]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pieces.encode(docs, PIECES, chunk=40, with_ids=True, group=group).collect()}
+    for k, text in enumerate(texts):
+        ids = np.frombuffer(got[k]["ids"], "<u4").tolist()
+        assert got[k]["same"] and sum_of(vocabulary, ids) == best_sum(vocabulary, text)
+        assert (got[k]["n_pieces"], got[k]["digest"]) == (len(ids), digest(ids))
+
+
 def test_suffix_order(spark):
     rng = random.Random(5)
     strings = {s: [rng.randrange(3) for _ in range(rng.randrange(1, 40))] for s in range(30)}
