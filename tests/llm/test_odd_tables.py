@@ -92,3 +92,19 @@ def test_defined_results(docs):
     lines = {r["doc_id"]: r["text"] for r in line_dedup.remove(docs).collect()}
     assert lines[1] is None and lines[2] == ""
     assert all(r["same"] for r in pieces.encode(docs, PIECES).collect())
+
+
+def test_every_text_of_a_repeated_id_is_compared(spark):
+    rows = []
+    for k in range(12):
+        first, second = (samples.words(100, 100 * k + j, 10**6) for j in (1, 2))
+        rows += [(1000 + k, first), (1000 + k, second), (2000 + k, second + " and more"), (10 + k, first + " or less")]
+    rows += [(5, "one and the same text of a few words")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates.classes(docs).collect()
+    want = {1000 + k: {10 + k, 1000 + k} for k in range(12)}
+    assert {r["class_id"] for r in got if 2000 <= r["doc_id"] < 2012} == {*range(1000, 1012)}
+    assert all({r["class_id"] for r in got if r["doc_id"] == i} == c for i, c in want.items())
+    kept = sorted((r["doc_id"], r["text"]) for r in near_duplicates.keep_one(docs).collect())
+    stay = [(i, t) for i, t in rows if i < 1000] + [(i, t) for n, (i, t) in enumerate(rows) if 1000 <= i < 2000 and n % 4 == 1]
+    assert kept == sorted(stay)

@@ -22,8 +22,8 @@ So the classes are the components of all links between candidates, without a lis
 
 Defined results: texts without words, null or empty, are copies of each other. A text of fewer than five
 words is one shingle. Rows with a null id get the class of equal texts, and null if all ids of these are null;
-they are not compared otherwise. Rows that repeat an id get classes by their own texts; where the least id
-of a class repeats, one of its texts is compared. An empty table gives an empty result.
+they are not compared otherwise. Rows that repeat an id get classes by their own texts, each of which is compared; two
+classes with the same least id have the same name. An empty table gives an empty result.
 """
 
 import numpy as np
@@ -174,7 +174,7 @@ def fingerprints(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def signatures(docs: DataFrame, sampler) -> DataFrame:
-    """(doc_id, f1, f2, bands, samples): fingerprint of the words, bands, and samples."""
+    """(doc_id, h, f1, f2, bands, samples) of (doc_id, text, h): fingerprint of the words, bands, and samples."""
 
     def run(batches):
         own = sampler.value
@@ -185,9 +185,10 @@ def signatures(docs: DataFrame, sampler) -> DataFrame:
             each = pa.ListArray.from_arrays(np.arange(0, each.size + 1, ROWS * BANDS, dtype=np.int32), pa.array(each.view(np.int32).ravel()))
             f1, f2 = fingerprints(words, at)
             lists = pa.ListArray.from_arrays(np.arange(0, bands.size + 1, BANDS, dtype=np.int32), pa.array(bands.ravel()))
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(f1), pa.array(f2), lists, each], names=["doc_id", "f1", "f2", "bands", "samples"])
+            made = [rows.column(0), rows.column(2), pa.array(f1), pa.array(f2), lists, each]
+            yield pa.RecordBatch.from_arrays(made, names=["doc_id", "h", "f1", "f2", "bands", "samples"])
 
-    return docs.mapInArrow(run, "doc_id long, f1 long, f2 long, bands array<long>, samples array<int>")
+    return docs.mapInArrow(run, "doc_id long, h long, f1 long, f2 long, bands array<long>, samples array<int>")
 
 
 def vectors(docs: DataFrame, sampler) -> DataFrame:
@@ -327,33 +328,44 @@ def links(members: DataFrame, samples: DataFrame, sets: DataFrame, least: float)
     return found
 
 
-def classes(docs: DataFrame, doc_id="doc_id", text="text", least: float = SIMILARITY) -> DataFrame:
-    """(doc_id, class_id) of every row of docs; the class is named by its least id."""
-    own = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
+def classed(docs: DataFrame, doc_id="doc_id", text="text", least: float = SIMILARITY) -> DataFrame:
+    """(doc_id, h, class_id) of every row of docs, h being the hash of its text; the class is named by its least id."""
+    own = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("h"))
     sampler = docs.sparkSession.sparkContext.broadcast(Sampler(document_frequencies(own)))
     signed = stage(signatures(own, sampler), "signatures")
-    copies = stage(signed.groupBy("f1", "f2").agg(F.min("doc_id").alias("first"), F.min_by("bands", "doc_id").alias("bands")), "copies")
-    samples = signed.select(F.col("doc_id").alias("doc"), "samples").where("doc is not null").dropDuplicates(["doc"])
-    banded = copies.where("first is not null").select("first", F.posexplode("bands").alias("band", "value"))
-    keyed = stage(banded.select(F.xxhash64("band", "value").alias("key"), F.col("first").alias("doc")).distinct(), "bands")
+    # One row per sequence of words. It has a number of its own, which a repeated id cannot confuse, and the row that stands for it.
+    row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "h"))
+    equal = signed.groupBy("f1", "f2").agg(F.min(row).alias("row"), F.first("bands").alias("bands"), F.first("samples").alias("samples"))
+    copies = stage(equal.select("f1", "f2", "row.*", "bands", "samples", F.monotonically_increasing_id().alias("doc")), "copies")
+    named = copies.where("doc_id is not null")
+    samples = named.select("doc", "samples")
+    banded = named.select("doc", F.posexplode("bands").alias("band", "value"))
+    keyed = stage(banded.select(F.xxhash64("band", "value").alias("key"), "doc").distinct(), "bands")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stage(keyed.join(shared.select("key"), "key"), "members")
-    wanted = members.select("doc").distinct()
-    # Rows that repeat an id are told apart by the fingerprint they stand for; the least id names one of them.
-    texts = own.join(wanted.hint("merge"), F.col("doc_id") == F.col("doc"), "left_semi")
+    wanted = members.select("doc").distinct().join(named.select("doc", "doc_id", "h"), "doc")
+    # Rows that repeat an id are told apart by the hash of their text.
+    texts = own.join(wanted.hint("merge"), ["doc_id", "h"]).select("doc", "text")
     sets = stage(vectors(texts, sampler), "sets")
     linked = links(members, samples, sets.dropDuplicates(["doc"]), least)
     of = stage(components(linked), "classes")
-    placed = signed.select("doc_id", "f1", "f2").join(copies.select("f1", "f2", "first"), ["f1", "f2"])
-    named = placed.join(of, F.col("first") == F.col("node"), "left")
-    return named.select("doc_id", F.coalesce("component", "first").alias("class_id"))
+    ids = of.join(named.select("doc", "doc_id"), F.col("node") == F.col("doc"))
+    names = stage(ids.groupBy("component").agg(F.min("doc_id").alias("class_id")), "names")
+    placed = of.join(names, "component").select(F.col("node").alias("doc"), "class_id")
+    told = copies.select("f1", "f2", "doc", "doc_id").join(placed, "doc", "left").select("f1", "f2", F.coalesce("class_id", "doc_id").alias("class_id"))
+    return signed.select("doc_id", "h", "f1", "f2").join(told, ["f1", "f2"]).select("doc_id", "h", "class_id")
+
+
+def classes(docs: DataFrame, doc_id="doc_id", text="text", least: float = SIMILARITY) -> DataFrame:
+    """(doc_id, class_id) of every row of docs."""
+    return classed(docs, doc_id, text, least).select("doc_id", "class_id")
 
 
 def keep_one(docs: DataFrame, doc_id="doc_id", text="text", least: float = SIMILARITY) -> DataFrame:
     """docs without all but the document with the least id of each class; null ids stay.
 
-    Of rows that repeat that id, all stay.
+    Of rows that repeat that id, those in the class stay.
     """
-    kept = classes(docs, doc_id, text, least).where("doc_id = class_id").select("class_id").distinct()
-    stays = docs.join(kept, docs[doc_id] == kept["class_id"], "left_semi")
+    kept = classed(docs, doc_id, text, least).where("doc_id = class_id").select("class_id", "h").distinct()
+    stays = docs.join(kept, (docs[doc_id] == kept["class_id"]) & (F.xxhash64(docs[text]) == kept["h"]), "left_semi")
     return stays.union(docs.where(docs[doc_id].isNull()))
