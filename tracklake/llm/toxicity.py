@@ -21,7 +21,7 @@ id, and on CLEAN_SENTENCES sentences of the clean ones; landmarks, weights and c
 
 Defined results: a null or empty text scores as a sentence without letters. Labels that are null are
 left out; a document with several labels takes the largest. Without rows of both classes every
-score is the share of toxic rows (0 if there are none). Rows that repeat an id score by their own text.
+score is the share of toxic rows (0 if there are none). Rows that repeat an id score by their own text, and are trained on by the text with the least hash.
 """
 
 import numpy as np
@@ -294,8 +294,9 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id="doc_id", text="text", toxi
     picked = [r for y in (0, 1) for r in known.where((F.col("y") > 0) == bool(y)).orderBy(F.xxhash64("id"), "id").limit(sample).collect()]
     ids = docs.sparkSession.createDataFrame([(r["id"], int(r["y"] > 0)) for r in picked], "id long, y int")
     own = docs.select(docs[doc_id].cast("long").alias("id"), F.coalesce(docs[text], F.lit("")).alias("text"))
-    # At most two samples of ids; the rows found are as many, unless ids repeat.
-    rows = own.join(F.broadcast(ids), "id").dropDuplicates(["id"]).select("text", "y").collect()
+    # At most two samples of ids, one row each: of the texts of a repeated id the one with the least hash.
+    least = F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text")
+    rows = own.join(F.broadcast(ids), "id").groupBy("id", "y").agg(least).select("text", "y").collect()
     rows.sort(key=lambda r: (r["y"], r["text"]))
     return fit([r["text"] for r in rows], np.array([r["y"] > 0 for r in rows], bool), share)
 
