@@ -8,7 +8,7 @@ HAS_DATA = os.path.isdir(FOLDER)
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 # Names that operators use for their own columns, or might.
-CLASHES = ("row", "id", "rid", "site", "hash", "line", "copy", "n_copies", "words", "score", "bands", "key", "part", "k", "kept")
+CLASHES = ("row", "id", "rid", "site", "hash", "line", "copy", "n_copies", "words", "score", "bands", "key", "part", "k", "kept", "lang_pred", "Lang_Score", "_lang_pred")
 
 
 def words(n, seed, vocabulary=400):

@@ -65,6 +65,8 @@ def test_stage_of_odd_rows(docs, spark, name, apply):
     rows = got.collect()
     if name != "pieces":
         assert got.columns == docs.columns
+        carried = {(r[0], None if r[4] is None else str(r[4])) for r in samples.odd_rows()}
+        assert {(r["doc_id"], r[c]) for r in rows for c in samples.CLASHES} <= carried
         assert {r["doc_id"] for r in rows} <= {r[0] for r in samples.odd_rows()}
     assert apply(spark, samples.empty(spark), "").collect() == []
 
