@@ -22,12 +22,21 @@ from tracklake.session import stage
 LEAST_SCORE = 0.3
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """A name beginning with `name` that no column of docs has."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the others have taught."""
     model = language.learn(docs.where(fold("doc_id") != 0))
-    predicted = language.predict(docs, model, name="_lang_pred", score="_lang_score")
-    known = predicted["_lang_pred"] != language.UNDETERMINED
-    return predicted.where(known & (predicted["_lang_score"] >= LEAST_SCORE)).select(*docs.columns)
+    name, score = (unused(docs, x) for x in ("lang_pred", "lang_score"))
+    predicted = language.predict(docs, model, name=name, score=score)
+    known = predicted[name] != language.UNDETERMINED
+    return predicted.where(known & (predicted[score] >= LEAST_SCORE)).select(*docs.columns)
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
