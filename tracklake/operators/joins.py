@@ -6,8 +6,9 @@ from pyspark.sql import types as T
 
 from tracklake.session import stage
 
-# A side is broadcast only when counting it shows that it stays below this many bytes.
-BROADCAST_BYTES = 64 * 1024 * 1024
+# A side is broadcast only when counting it shows that it stays below this many bytes. The driver holds it
+# several times over, as often as a plan joins it.
+BROADCAST_BYTES = 8 * 1024 * 1024
 # A key with more event rows than this is spread over several tasks.
 HOT_ROWS = 5_000_000
 # Rows without a key match nothing; they are spread over this many tasks.
@@ -53,6 +54,10 @@ def hot_keys(facts: DataFrame, on: list[str], hot_rows: int) -> DataFrame:
     )
 
 
+def staged_hot_keys(facts: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    return stage(hot_keys(facts.na.drop(subset=on), on, hot_rows), "hot-keys")
+
+
 def join_facts(
     facts: DataFrame,
     side: DataFrame,
@@ -62,6 +67,7 @@ def join_facts(
     small: bool | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join event-sized facts with a side table on equal keys.
 
@@ -70,7 +76,7 @@ def join_facts(
     its partition, and the side rows of that key (only those) are repeated once per part. Each fact row is in
     exactly one part, so every join type keeps its meaning. `condition` is a further predicate
     on the matched pair; it refers to columns by name. `small` tells what an earlier size check
-    found, or that the side is as large as the facts.
+    found, or that the side is as large as the facts; `hot` holds the hot keys where they were counted before.
     """
     on = list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -80,7 +86,8 @@ def join_facts(
     if small:
         return _join(facts, F.broadcast(side), on, how, condition)
 
-    hot = stage(hot_keys(facts.na.drop(subset=on), on, hot_rows), "hot-keys")
+    if hot is None:
+        hot = staged_hot_keys(facts, on, hot_rows)
     any_hot = not hot.isEmpty()
     keeps_unmatched = how in ("left", "left_anti")
     if not any_hot and not keeps_unmatched:

@@ -315,21 +315,24 @@ class Testbed:
         tag = F.when(F.col("k") == 5, F.col("tag_id") - 3).otherwise(F.col("tag_id"))
         return out.withColumn("tag_id", tag).drop("k")
 
-    def _with_study(self, events: DataFrame) -> DataFrame:
+    @cached_property
+    def _owned(self):
+        """Events with the study of their user, joined while they are narrow."""
+        events = self.table("events").select("event_id", "ts", "user_id", "event_type", "value")
         owners = self.table("customer").selectExpr(
             "c_custkey as user_id", "cast(c_nationkey as bigint) as study_id"
         )
-        return join_facts(events, owners, ["user_id"], "left").drop("user_id")
+        return join_facts(events, owners, ["user_id"], "left")
 
     @cached_property
     def raw_event(self):
         """Raw events of the fixes, with the study of their file."""
-        copies = self.numbered(self.table("events"), "d", 3).where(COPIES)
-        return self._with_study(self.mapped(copies, RAW_EVENT, "user_id"))
+        copies = self.numbered(self._owned, "d", 3).where(COPIES)
+        return self.mapped(copies, RAW_EVENT, "study_id")
 
     @cached_property
     def ui_event(self):
-        return self._with_study(self.mapped(self.table("events"), UI_EVENT, "user_id"))
+        return self.mapped(self._owned, UI_EVENT, "study_id")
 
     @cached_property
     def ship(self):
