@@ -14,6 +14,7 @@ from tracklake.operators.dedupe import KEYS, TIME_UNIT, duplicate_groups
 from tracklake.operators.relate import in_deployment
 from tracklake.operators.repair import text_columns
 from tracklake.schema import FOREIGN_KEYS, PRIMARY_KEY
+from tracklake.session import stage
 
 VIOLATION_SCHEMA = "study_id bigint, check string, key string, detail string"
 
@@ -205,17 +206,16 @@ def untidy_text(df: DataFrame, entity: str, key: str, columns=None) -> DataFrame
 
 
 def unresolved_identifiers(export: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Ids that stayed empty, and a row count changed by ambiguous identifiers."""
-    lost = []
-    for name in ("tag_id", "individual_id", "sensor_id"):
-        groups = (
-            resolved.where(F.col(name).isNull())
-            .groupBy("study_id")
-            .agg(F.count("*").alias("num"))
-        )
-        lost.append(violation(groups, "identifier_resolved", F.lit(name), F.col("num")))
+    """Ids that stayed empty, and a row count changed by ambiguous identifiers. The resolved events are read once."""
+    ids = ("tag_id", "individual_id", "sensor_id")
+    empty = [F.count(F.when(F.col(name).isNull(), 1)).alias(f"_{name}") for name in ids]
+    counts = stage(resolved.groupBy("study_id").agg(F.count("*").alias("rows_out"), *empty), "unresolved")
+    lost = [
+        violation(counts.where(F.col(f"_{name}") > 0), "identifier_resolved", F.lit(name), F.col(f"_{name}"))
+        for name in ids
+    ]
     rows_in = export.groupBy("study_id").agg(F.count("*").alias("rows_in"))
-    rows_out = resolved.groupBy("study_id").agg(F.count("*").alias("rows_out"))
+    rows_out = counts.select("study_id", "rows_out")
     off = rows_in.join(rows_out, "study_id", "full").na.fill(0).where("rows_in <> rows_out")
     detail = F.format_string("%d rows in, %d out", "rows_in", "rows_out")
     return all_of(*lost, violation(off, "identifier_rows", F.lit("event"), detail))

@@ -105,13 +105,15 @@ def ambiguous_names(resolved: DataFrame) -> DataFrame:
 
 
 def identifier_violations(resolved: DataFrame) -> DataFrame:
-    """Ambiguous names, names that stand for nothing then, and events whose tag has several such sensors or none."""
+    """Ambiguous names, names that stand for nothing then, and events whose tag has several such sensors or none.
+
+    The resolved events are read once.
+    """
     kinds = {
+        "identifier_ambiguous": F.col("candidates") > 1,
         "identifier_unknown": F.col("candidates") == 0,
         "identifier_sensor": (F.col("candidates") == 1) & (F.col("sensors") != 1),
     }
-    found = [ambiguous_names(resolved)]
-    for check, wrong in kinds.items():
-        groups = resolved.where(wrong).groupBy("study_id").agg(F.count("*").alias("num"))
-        found.append(violation(groups, check, F.lit("event"), F.col("num")))
-    return all_of(*found)
+    sums = [F.count(F.when(wrong, 1)).alias(check) for check, wrong in kinds.items()]
+    counts = stage(resolved.groupBy("study_id").agg(*sums), "identifiers")
+    return all_of(*[violation(counts.where(F.col(check) > 0), check, F.lit("event"), F.col(check)) for check in kinds])
