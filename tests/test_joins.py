@@ -170,3 +170,49 @@ def test_binned_join_meets_few_deployments(spark):
     found = relate.binned_interval_join(event, use)
     assert found.count() == 20_000
     assert found.where("deployment_id <> floor(event_id / 2)").isEmpty()
+
+
+def test_bins_grow_with_the_deployments_however_much_they_overlap(frame):
+    """Each deployment lasts half of the time that all take, some are open: a row per bin must not be a row per pair."""
+    start, many = datetime(2020, 1, 1), 200
+    ends = [(start + timedelta(hours=i), start + timedelta(hours=i + many)) for i in range(many)]
+    use = [
+        (i, 1, 1, 1, None if i % 20 == 3 else str(on), None if i % 20 == 7 else str(off))
+        for i, (on, off) in enumerate(ends)
+    ]
+    deployment = frame(use, DEPLOYMENT)
+    bins = relate.bins_of_keys(deployment, relate.DEPLOYMENT_KEYS)
+    assert bins.count() == 1
+    rows = relate.binned_deployments(deployment, bins, relate.DEPLOYMENT_KEYS)
+    assert rows.count() <= 4 * many
+    events = [(i, 1, 1, 1, str(start + timedelta(minutes=37 * i))) for i in range(-20, 700, 9)]
+    times = [(e[0], e[4]) for e in events]
+    expected = sorted(
+        (e, d[0]) for e, at in times for d in use if (d[4] is None or at >= d[4]) and (d[5] is None or at < d[5])
+    )
+    got = relate.binned_interval_join(frame(events, EVENT), deployment).select("event_id", "deployment_id").collect()
+    assert sorted(map(tuple, got)) == expected
+
+
+def test_binned_join_counts_cold_keys_once(frame, monkeypatch):
+    """Where bins are not broadcast, keys without hot rows are not counted again by bin; hot ones are."""
+    counted = []
+    count = joins.hot_keys
+
+    def spy(facts, on, hot_rows):
+        counted.append(tuple(on))
+        return count(facts, on, hot_rows)
+
+    monkeypatch.setattr(joins, "hot_keys", spy)
+    events, deployments = random_case(1)
+    e, d = frame(events, EVENT), frame(deployments, DEPLOYMENT)
+    for hot_rows, times in ((10**6, 1), (3, 2)):
+        counted.clear()
+        got = relate.binned_interval_join(e, d, few=0, broadcast_bytes=0, hot_rows=hot_rows)
+        assert sorted((r.event_id, r.deployment_id) for r in got.collect()) == brute(events, deployments)
+        assert len(counted) == times
+
+
+def test_sides_of_ten_megabytes_are_not_broadcast(spark):
+    assert joins.is_small(spark.range(100_000))
+    assert not joins.is_small(spark.range(400_000))

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklake.operators.joins import join_facts
+from tracklake.operators.joins import BROADCAST_BYTES, HOT_ROWS, is_small, join_facts, staged_hot_keys
 
 DEPLOYMENT_KEYS = ("study_id", "individual_id", "tag_id")
 # Keys with more deployments have time bins in a binned join.
@@ -67,12 +67,26 @@ def _micros(c: Column) -> Column:
 
 
 def bins_of_keys(deployments: DataFrame, keys: tuple[str, ...], few: int = FEW_DEPLOYMENTS) -> DataFrame:
-    """(keys, _low, _width, _bins) of the keys with many deployments: as many time bins as deployments."""
-    first = F.least(_micros(F.col("deploy_on_timestamp")), _micros(F.col("deploy_off_timestamp")))
-    last = F.greatest(_micros(F.col("deploy_on_timestamp")), _micros(F.col("deploy_off_timestamp")))
-    spans = deployments.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(first).alias("_low"), F.max(last).alias("_high"))
+    """(keys, _low, _width, _bins) of the keys with many deployments: at most as many time bins as deployments.
+
+    A bin is no shorter than the mean deployment, so that they reach into three bins each on average, however much
+    they overlap. An open end counts as the first or last end of its key. Sums are exact: all readings have equal bins.
+    """
+    on, off = _micros(F.col("deploy_on_timestamp")), _micros(F.col("deploy_off_timestamp"))
+    # An end before the start has no length.
+    end = F.when(off.isNotNull(), F.greatest(on, off))
+    spans = deployments.groupBy(*keys).agg(
+        F.count("*").alias("_n"),
+        F.min(F.least(on, off)).alias("_low"),
+        F.max(F.greatest(on, off)).alias("_high"),
+        *[F.coalesce(F.sum(c.cast("decimal(20,0)")), F.lit(0)).alias(n) for c, n in ((on, "_starts"), (end, "_ends"))],
+        *[F.count(F.when(c.isNull(), 1)).alias(n) for c, n in ((on, "_no_start"), (off, "_no_end"))],
+    )
     spans = spans.where((F.col("_n") > few) & F.col("_low").isNotNull())
-    width = F.floor((F.col("_high") - F.col("_low")) / F.col("_n")) + 1
+    low, high = (F.col(c).cast("decimal(20,0)") for c in ("_low", "_high"))
+    length = F.col("_ends") + high * F.col("_no_end") - F.col("_starts") - low * F.col("_no_start")
+    mean = F.ceil(length / F.col("_n")).cast("bigint")
+    width = F.greatest(F.floor((F.col("_high") - F.col("_low")) / F.col("_n")) + 1, mean)
     return spans.select(*keys, "_low", width.alias("_width"), F.floor((F.col("_high") - F.col("_low")) / width).alias("_bins"))
 
 
@@ -115,10 +129,15 @@ def binned_interval_join(
     `columns` of the deployments are added to the events, the ends of the interval among them.
     """
     bins = bins_of_keys(deployments, keys, few)
-    marked = join_facts(events, bins, list(keys), "left", **limits)
+    small, hot, again = is_small(bins, limits.get("broadcast_bytes", BROADCAST_BYTES)), None, None
+    if not small:
+        hot = staged_hot_keys(events, list(keys), limits.get("hot_rows", HOT_ROWS))
+        # Without hot keys there are no hot bins either, and events need not be counted again.
+        again = hot.withColumn("_bin", F.lit(0).cast("bigint")) if hot.isEmpty() else None
+    marked = join_facts(events, bins, list(keys), "left", small=small, hot=hot, **limits)
     marked = marked.withColumn("_bin", _bin(_micros(F.col("timestamp")))).drop("_low", "_width", "_bins")
     side = binned_deployments(deployments, bins, keys, columns)
-    return join_facts(marked, side, [*keys, "_bin"], how, in_deployment(), **limits).drop("_bin")
+    return join_facts(marked, side, [*keys, "_bin"], how, in_deployment(), hot=again, **limits).drop("_bin")
 
 
 def null_keyed_deployments(deployments: DataFrame) -> DataFrame:
