@@ -14,8 +14,8 @@ Documents with the same sequence of words are one class from the start, and one
 Within a bucket of candidates pairs are not listed. All members are compared with a pivot. It is the least
 member of a small bucket; in one of LARGE members and more, it is the one that agrees most with the most common samples, the text that near copies were made from, if it is
 there. What is then left of a small bucket is
-compared in pairs; of a large one, in blocks, two to a task, which hand on their links alone: pairs that agree in LEAST_AGREED
-samples are compared by their sets. One
+compared in pairs; of a large one, in blocks, two to a task, which hand on no more than a pair per document: pairs that agree in
+LEAST_AGREED samples and are not in one component yet are compared by their sets. One
 minus the similarity is a metric, so a member y that is not linked to a pivot p can only be linked to a
 member x that is if d(y,p) <= d(x,p) + 0.2; such pairs are compared where x and y are in different classes.
 So the classes are the components of all links between candidates, without a list of all pairs.
@@ -267,14 +267,61 @@ def blocks_of(members: DataFrame, samples: DataFrame, sets: DataFrame) -> DataFr
     return full.groupBy("key", "block").agg(docs)
 
 
+def tied(x, y, least: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (a, b) that make the same components as all links between two blocks: a is the least of b's component.
+
+    A block is (docs, samples, keys, weights). Pairs that enough samples agree in are compared by their sets, a row of
+    them at once; those that are in one component already are not.
+    """
+    (x_docs, x_samples, x_keys, x_weights), (y_docs, y_samples, y_keys, y_weights) = x, y
+    agreed = np.zeros((len(x_docs), len(y_docs)), np.uint8)
+    for k in range(ROWS * BANDS):
+        agreed += x_samples[:, k, None] == y_samples[None, :, k]
+    close = agreed >= LEAST_AGREED
+    if same:
+        close = np.triu(close, 1)
+    docs, at = np.unique(np.concatenate([x_docs, y_docs]), return_inverse=True)
+    x_at, y_at = at[: len(x_docs)], at[len(x_docs) :]
+    label = np.arange(len(docs))
+    rows, columns = np.flatnonzero(close.any(1)), np.flatnonzero(close.any(0))
+    if len(rows):
+        keys = [*(x_keys[p] for p in rows), *(y_keys[q] for q in columns)]
+        every, number = np.unique(np.concatenate(keys), return_inverse=True)
+        numbers = np.split(number, np.cumsum([len(k) for k in keys])[:-1])
+        x_numbers, y_numbers = dict(zip(rows, numbers)), dict(zip(columns, numbers[len(rows) :]))
+        y_size = np.array([w.sum(dtype=float) for w in y_weights])
+        own = np.zeros(len(every), np.float32)
+        for p in rows:
+            q = np.flatnonzero(close[p] & (label[y_at] != label[x_at[p]]))
+            if not len(q):
+                continue
+            own[x_numbers[p]] = x_weights[p]
+            least_of = np.minimum(own[np.concatenate([y_numbers[j] for j in q])], np.concatenate([y_weights[j] for j in q]))
+            own[x_numbers[p]] = 0
+            sums = np.concatenate([[0.0], np.cumsum(least_of, dtype=float)])
+            both = np.diff(sums[np.concatenate([[0], np.cumsum([len(y_weights[j]) for j in q])])])
+            either = x_weights[p].sum(dtype=float) + y_size[q] - both
+            linked = q[np.where(either > 0, both / np.where(either > 0, either, 1), 1.0) >= least]
+            label[np.isin(label, label[y_at[linked]])] = label[x_at[p]]
+    root = np.full(len(docs), len(docs))
+    np.minimum.at(root, label, np.arange(len(docs)))
+    root = root[label]
+    others = np.flatnonzero(root != np.arange(len(docs)))
+    return docs[root[others]], docs[others]
+
+
 def linked_blocks(left: DataFrame, right: DataFrame, samples: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """Links (a, b) between the members (key, doc) of left and of right that have the same key.
+    """Pairs (a, b) that make the same components as all links between the members (key, doc) of left and of right that have the same key.
 
-    A task holds two blocks, and compares the sets of those that agree in enough samples.
+    A task holds two blocks, and compares the sets of those that agree in enough samples. Where left is right, two blocks meet once.
     """
-    a = stage(blocks_of(left, samples, sets), "blocks").select("key", F.col("docs").alias("a"))
-    b = stage(blocks_of(right, samples, sets), "blocks").select("key", F.col("docs").alias("b"))
-    pairs = a.join(b, "key").select("a", "b")
+    whole = right is left
+    a = stage(blocks_of(left, samples, sets), "blocks")
+    b = a if whole else stage(blocks_of(right, samples, sets), "blocks")
+    sides = a.select("key", F.col("block").alias("i"), F.col("docs").alias("a")), b.select("key", F.col("block").alias("j"), F.col("docs").alias("b"))
+    pairs = sides[0].join(sides[1], "key")
+    pairs = pairs.where("i <= j") if whole else pairs
+    pairs = pairs.select("a", "b", (F.col("i") == F.col("j") if whole else F.lit(False)).alias("same"))
 
     def run(batches):
         def read(cell):
@@ -285,16 +332,8 @@ def linked_blocks(left: DataFrame, right: DataFrame, samples: DataFrame, sets: D
 
         for batch in batches:
             for i in range(batch.num_rows):
-                (x, x_samples, *x_sets), (y, y_samples, *y_sets) = (read(c[i]) for c in batch.columns)
-                agreed = np.zeros((len(x), len(y)), np.uint8)
-                for k in range(ROWS * BANDS):
-                    agreed += x_samples[:, k, None] == y_samples[None, :, k]
-                u, v = np.nonzero((agreed >= LEAST_AGREED) & (x[:, None] != y[None, :]))
-                found = [
-                    (min(x[p], y[q]), max(x[p], y[q])) for p, q in zip(u, v)
-                    if similarity(x_sets[0][p], x_sets[1][p], y_sets[0][q], y_sets[1][q]) >= least
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+                found = tied(read(batch.column(0)[i]), read(batch.column(1)[i]), least, batch.column(2)[i].as_py())
+                yield pa.RecordBatch.from_arrays([pa.array(f, pa.int64()) for f in found], names=["a", "b"])
 
     return pairs.mapInArrow(run, "a long, b long").distinct()
 
