@@ -252,3 +252,21 @@ def test_samples_in_a_group_of_a_third_follow_the_deciding_similarity():
         weight = sampler.weighted(h, bounds, sampler.compared)[1]
         decided.append(near_duplicates.similarity(keys[: at[1]], weight[: at[1]], keys[at[1] :], weight[at[1] :]))
     assert 0.74 < np.mean(decided) < 0.84 and abs(np.mean(agreed) - np.mean(decided)) < 0.03
+
+
+def test_values_are_found_whatever_slots_they_share(monkeypatch):
+    rng = np.random.default_rng(9)
+    for bits in (18, 4):  # with sixteen slots most numbers go to a later table
+        monkeypatch.setattr(token_files, "SLOT_BITS", bits, raising=False)
+        found = np.unique(rng.integers(0, 500, 200, dtype=np.uint64) << np.uint64(32) | np.uint64(7))
+        values = rng.integers(0, 600, 5000, dtype=np.uint64) << np.uint64(32) | np.uint64(7)
+        at, place = token_files.places_of(found, values)
+        assert np.array_equal(np.sort(at), np.flatnonzero(np.isin(values, found)))
+        assert np.array_equal(found[place], values[at])
+    assert [len(x) for x in token_files.places_of(found[:0], values)] == [0, 0]
+
+
+def test_taken_places_are_heavier_than_their_neighbours():
+    weight = np.array([0, 3, 3, 5, 1, 0, 2, 2, 2, 2, 0, 0, 9])
+    assert np.flatnonzero(token_files.without_overlaps(weight)).tolist() == [1, 3, 6, 8, 12]
+    assert not token_files.without_overlaps(weight[:1]).any()
