@@ -1,15 +1,17 @@
 """The parts of the methods, on arrays and strings alone."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.samples import words
 from tracklake.llm import mixing, near_duplicates, pieces, repeats, suffix_order, token_files, toxicity
-from tracklake.llm.batches import Rolling, word_bounds
+from tracklake.llm.batches import Rolling, slices, word_bounds
 from tracklake.llm.graph import components
 from tracklake.llm.language import Filters
 
@@ -236,6 +238,27 @@ def test_least_hashes_of_windows():
         assert repeats.leftmost_least(grams, starts).tolist() == want
 
 
+def test_anchors_of_a_slice_of_many_texts_take_little_memory():
+    """Four megabytes of texts: no more than a slice's numbers are held at once, and each start has its window's anchor."""
+    rng = np.random.default_rng(9)
+    texts = ["".join(map(chr, rng.integers(97, 101, n))) for n in (0, 399, 400, 2000, *[5000] * 800)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["rid", "text"])
+    hashes, seen = repeats.Hashes(), 0
+    hashes.first.prefix(np.zeros(1, np.uint8))  # its tables
+    tracemalloc.start()
+    for _, data, offsets in slices([batch], 1, repeats.SLICE):
+        a = repeats.Anchors(hashes, data, offsets, repeats.LEAST)
+        seen += len(a.starts)
+        if seen < 10_000:
+            grams = hashes.first.of(a.prefix, np.arange(len(data) - 15), np.arange(16, len(data) + 1))
+            assert hashes.first.grams(a.prefix, 16).tolist() == grams.tolist()
+            assert a.at[a.of_start].tolist() == repeats.leftmost_least(grams, a.starts).tolist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == sum(max(0, len(t) - repeats.LEAST + 1) for t in texts)
+    assert peak < 64 << 20
+
+
 def test_samples_in_a_group_of_a_third_follow_the_deciding_similarity():
     own, bits = near_duplicates.Rolling(23), 64 - near_duplicates.BUCKET_BITS
     agreed, decided = [], []
