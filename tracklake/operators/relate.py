@@ -1,5 +1,7 @@
 """Joins between the entities: reductions, the deployment interval join, identifiers."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,19 +14,24 @@ DEPLOYMENT_COLUMNS = ("deployment_id", "deploy_on_timestamp", "deploy_off_timest
 
 
 def reduce_entities(
-    individual: DataFrame, tag: DataFrame, sensor: DataFrame, deployment: DataFrame
+    individual: DataFrame,
+    tag: DataFrame,
+    sensor: DataFrame,
+    deployment: DataFrame,
+    keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> dict[str, DataFrame]:
     """Keep what belongs together.
 
     Deployments of known individuals; individuals and tags that were deployed; sensors on those
-    tags. Semi joins, so repeated keys on the other side multiply nothing.
+    tags. Semi joins, so repeated keys on the other side multiply nothing. `keep` may write each table
+    (see session.stage) before others are reduced by it.
     """
-    deployment = keep_matching(deployment, individual, ["study_id", "individual_id"])
-    tag = keep_matching(tag, deployment, ["study_id", "tag_id"])
+    deployment = keep(keep_matching(deployment, individual, ["study_id", "individual_id"]), "deployment")
+    tag = keep(keep_matching(tag, deployment, ["study_id", "tag_id"]), "tag")
     return {
-        "individual": keep_matching(individual, deployment, ["study_id", "individual_id"]),
+        "individual": keep(keep_matching(individual, deployment, ["study_id", "individual_id"]), "individual"),
         "tag": tag,
-        "sensor": keep_matching(sensor, tag, ["study_id", "tag_id"]),
+        "sensor": keep(keep_matching(sensor, tag, ["study_id", "tag_id"]), "sensor"),
         "deployment": deployment,
     }
 

@@ -89,9 +89,9 @@ def clean(
     lost = [files.lost_in(raw[e], e) for e in marked if e != "event"]
     raw = {e: files.without_marks(df) if e in marked and e != "event" else df for e, df in raw.items()}
     individual = keep_allowed_species(raw["individual"], species_pattern, keep_missing_species)
-    # Reduced tables are small; only the deployments, read again and again, are written.
-    kept = reduce_entities(individual, raw["tag"], raw["sensor"], raw["deployment"])
-    deployment = kept["deployment"] = stage(kept["deployment"], "deployment")
+    # The reduced tables are read by several checks each, so their joins and the parsing before them run once.
+    kept = reduce_entities(individual, raw["tag"], raw["sensor"], raw["deployment"], keep=stage)
+    deployment = kept["deployment"]
 
     rules = event_rules(as_of, check_range, tolerance, outliers)
     annotated = stage(annotate_events(raw["event"], deployment, rules), "annotated")
@@ -111,7 +111,8 @@ def clean(
     rows_out = event.groupBy("study_id").agg(F.count("*").alias("num"))
     found = [
         *found,
-        checks.entities_without_records(studies, raw),
+        # All raw events stand among the annotated ones.
+        checks.entities_without_records(studies, {**raw, "event": annotated}),
         checks.tags_without_deployment(kept["tag"], deployment),
         checks.repeated_deployments(deployment),
         checks.shared_deployment_ends(deployment),

@@ -252,6 +252,8 @@ RELATIONS.update(
 )
 
 
+# Customers that a task makes tags, sensors and deployments of.
+PEOPLE_OF_TASK = 100_000
 # Schemas of the driver's files, so that each file's footer is read for it once.
 _SCHEMAS: dict[str, T.StructType] = {}
 
@@ -281,6 +283,13 @@ class Testbed:
         times = [f.name for f in out.schema if isinstance(f.dataType, T.TimestampNTZType)]
         return out.withColumns({n: F.col(n).cast("timestamp") for n in times}) if times else out
 
+    @cached_property
+    def _people(self):
+        """Customers with a bounded number to a task, however large the pieces of their file, as each becomes several rows."""
+        customers = self.table("customer")
+        more = customers.count() // PEOPLE_OF_TASK
+        return customers.repartition(more + 1, "c_custkey") if more else customers
+
     def numbered(self, df: DataFrame, name: str, count: int) -> DataFrame:
         return df.withColumn(name, F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(count)])))
 
@@ -294,11 +303,11 @@ class Testbed:
 
     @cached_property
     def tag(self):
-        return self.mapped(self.numbered(self.table("customer"), "k", 5), TAG)
+        return self.mapped(self.numbered(self._people, "k", 5), TAG)
 
     @cached_property
     def sensor(self):
-        base = self.mapped(self.numbered(self.table("customer"), "k", 5).where(SENSOR_K), SENSOR)
+        base = self.mapped(self.numbered(self._people, "k", 5).where(SENSOR_K), SENSOR)
         doubled = self.table("customer").where(EXTRA_SENSOR)
         extra = doubled.selectExpr(
             "c_custkey * 16 + 1 as sensor_id",
@@ -310,7 +319,7 @@ class Testbed:
 
     @cached_property
     def deployment(self):
-        rows = self.numbered(self.table("customer"), "k", 6).where(DEPLOYED_K)
+        rows = self.numbered(self._people, "k", 6).where(DEPLOYED_K)
         out = self.mapped(rows, DEPLOYMENT, "k")
         tag = F.when(F.col("k") == 5, F.col("tag_id") - 3).otherwise(F.col("tag_id"))
         return out.withColumn("tag_id", tag).drop("k")
