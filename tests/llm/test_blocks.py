@@ -58,3 +58,11 @@ def test_a_bucket_of_near_copies_hands_on_a_pair_per_document(spark):
     apart = members.where("doc >= 50")
     tied = near.linked_blocks(members, apart, stored.select("doc", "samples"), stored.drop("samples"), 0.8)
     assert {tuple(r) for r in tied.collect()} == {(0, d) for d in range(1, 100)}
+
+
+def test_a_large_bucket_without_a_common_sample_has_a_pivot(spark):
+    """300 members that agree in nothing but their band: no sample stands out, and the least member is the pivot."""
+    n = near.ROWS * near.BANDS
+    samples = spark.range(300).selectExpr("id + 7 as doc", f"transform(sequence(0, {n - 1}), k -> cast(id * {n} + k as int)) as samples")
+    members = samples.selectExpr("1L as key", "doc")
+    assert [tuple(r) for r in near.pivots_of(members, samples).collect()] == [(1, 7)]

@@ -243,7 +243,8 @@ def pivots_of(todo: DataFrame, samples: DataFrame) -> DataFrame:
     large = todo.join(sizes.where(F.col("n") >= LARGE).select("key"), "key")
     sampled = stage(large.join(samples, "doc"), "large-buckets")
     looked_at = range(0, ROWS * BANDS, ROWS)  # one sample of each band
-    common = [F.expr(f"approx_top_k(samples[{k}], 1, 64)[0].item") for k in looked_at]
+    # A sketch names no sample where none stands out, as in a bucket whose members share one passage only.
+    common = [F.expr(f"get(approx_top_k(samples[{k}], 1, 64), 0).item") for k in looked_at]
     modes = sampled.groupBy("key").agg(*(c.alias(f"m{k}") for k, c in enumerate(common)))
     modes = modes.select("key", F.array(*(f"m{k}" for k in range(len(common)))).alias("modes"))
     own = F.array(*(F.get("samples", F.lit(k)) for k in looked_at))
