@@ -44,6 +44,37 @@ def test_repair_round_trip_and_random_access():
         assert token_files.expand(symbols[:start], rules, 1000).size == first
 
 
+def frequent_pairs(symbols, starts):
+    """Pairs within documents that stand twice or more, none reaching into the one before."""
+    seen, bounds = {}, [*starts.tolist(), len(symbols)]
+    for a, b in zip(bounds, bounds[1:]):
+        own = {}
+        for k, pair in enumerate(zip(symbols[a:b].tolist(), symbols[a + 1 : b].tolist())):
+            if own.get(pair) != k - 1:
+                own[pair], seen[pair] = k, seen.get(pair, 0) + 1
+    return [p for p, n in seen.items() if n > 1]
+
+
+@pytest.mark.parametrize("kind", ["copies", "runs", "random", "words"])
+def test_repair_goes_on_until_no_pair_stands_twice(kind):
+    rng = np.random.default_rng(8)
+    ids = {
+        "copies": np.concatenate([np.tile(rng.integers(0, 50, 700), 6), rng.integers(0, 1000, 300)]),
+        "runs": np.repeat(rng.integers(0, 4, 60), rng.integers(1, 300, 60)),
+        "random": rng.integers(0, 9, 5000),
+        "words": rng.zipf(1.3, 20_000) % 1000,
+    }[kind].astype(np.uint32)
+    ends = np.unique(np.append(rng.integers(1, len(ids), 12), len(ids)))
+    symbols, starts, rules, expanded = token_files.compress(ids, ends, 1000)
+    assert frequent_pairs(symbols, starts) == []
+    assert (token_files.expand(symbols, rules, 1000) == ids).all()
+    sizes = np.array([len(token_files.expand(np.array([1000 + k]), rules, 1000)) for k in range(0, len(rules), 7)])
+    assert (sizes == expanded[::7]).all()
+    for a, b in rng.integers(0, len(ids), (20, 2)):
+        a, b = sorted((int(a), int(b) + 1))
+        assert (token_files.token_range(symbols, rules, expanded, 1000, a, b) == ids[a:b]).all()
+
+
 def best_sum(vocabulary, text):
     """Largest sum of scores by the textbook recursion."""
     shown = (" " + text).replace(" ", pieces.BLANK)
