@@ -69,6 +69,21 @@ def test_piece_counts_and_round_trip(spark, rows):
     assert all(got[r["doc_id"]]["n_bytes"] == len((r["text"] or "").encode()) for r in rows)
 
 
+def test_piece_paths_hand_on_the_ids(spark, tmp_path):
+    """A short, a long and an empty text, written and read back: the ids are there and decode to the text."""
+    from sentencepiece import SentencePieceProcessor
+
+    library = SentencePieceProcessor(model_file=queries.tokenizer_path("piece_bpe_32k.model"))
+    texts = ["A few words, then é and 日本語.", "some words that go on and on " * 700, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in queries.op4_piece_paths(spark, str(tmp_path)).collect()}
+    for k, text in enumerate(texts):
+        ids = np.frombuffer(got[k]["ids"], "<u4").tolist()
+        assert len(ids) == got[k]["n_pieces"] and got[k]["same"]
+        assert library.decode(ids) == text.rstrip() or library.decode(ids) == text
+
+
 def brute_classes(rows, least=0.8):
     """Components of all pairs with a Jaccard similarity of the distinct five-word shingles."""
     sets, inverted = {}, defaultdict(list)
