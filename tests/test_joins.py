@@ -216,3 +216,21 @@ def test_binned_join_counts_cold_keys_once(frame, monkeypatch):
 def test_sides_of_ten_megabytes_are_not_broadcast(spark):
     assert joins.is_small(spark.range(100_000))
     assert not joins.is_small(spark.range(400_000))
+
+
+def test_binned_query_joins_times_and_not_each_ship(spark, tmp_path, monkeypatch):
+    """1,200 ships and 30 orders of one day: a row for each order leaves the join, and not one for each pair."""
+    import __spark_entry__ as entry
+
+    orders = spark.range(30).selectExpr("id as o_orderkey", "id % 7 as o_custkey", "timestamp'1995-03-01' as o_orderdate")
+    lines = spark.range(1201).selectExpr(
+        "id % 30 as l_orderkey", "id as l_partkey", "id % 3 as l_suppkey", "cast(id as int) as l_linenumber",
+        "cast(1 as decimal(15,2)) as l_quantity", "timestamp'1995-03-01' + make_dt_interval(if(id = 1200, 1, 0)) as l_shipdate",
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    join, joined = relate.binned_interval_join, []
+    monkeypatch.setattr(relate, "binned_interval_join", lambda *a, **b: joined.append(join(*a, **b)) or joined[-1])
+    got = entry.queries()["interval_join_binned"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == [(k, 1200) for k in range(30)]
+    assert [j.count() for j in joined] == [30]

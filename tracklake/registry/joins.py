@@ -59,12 +59,16 @@ def interval_join_keep_all(t: Testbed):
     "select o_orderkey as deployment_id, count(*) as num from orders join lineitem on l_shipdate = o_orderdate group by 1",
 )
 def interval_join_binned(t: Testbed):
-    """All ships on one pair of individual and tag, which each order deploys for a day."""
+    """All ships on one pair of individual and tag, which each order deploys for a day.
+
+    Ships of one time fall into the same deployments: they are counted before they are joined, and not each with each order.
+    """
     one = {"individual_id": F.lit(1).cast("bigint"), "tag_id": F.lit(1).cast("bigint")}
     days = {"deploy_on_timestamp": F.expr("timestamp(o_orderdate)"), "deploy_off_timestamp": F.expr("timestamp(o_orderdate) + interval 1 day")}
     uses = t.table("orders").withColumn("deployment_id", F.col("o_orderkey")).withColumns({**one, **days})
-    found = relate.binned_interval_join(t.ship.withColumns(one), uses, SHIP_KEYS)
-    return found.groupBy("deployment_id").agg(F.count("*").alias("num"))
+    ships = t.ship.withColumns(one).groupBy(*SHIP_KEYS, "timestamp").agg(F.count("*").alias("n"))
+    found = relate.binned_interval_join(ships, uses, SHIP_KEYS)
+    return found.groupBy("deployment_id").agg(F.sum("n").alias("num"))
 
 
 @query(
